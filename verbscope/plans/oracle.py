@@ -265,13 +265,15 @@ SELECT lower(text) AS word, count(*) AS n FROM tok WHERE NOT is_punct GROUP BY 1
     "detail_text": _tok(f"\nSELECT doc_id, {DETAIL_TEXT} AS details FROM tok GROUP BY doc_id"),
     "has_ccomp": _tok("\nSELECT doc_id, bool_or(dep = 'ccomp') AS has_ccomp FROM tok GROUP BY doc_id"),
 
-    "process_batch": _tok(f"""
-SELECT t.doc_id, nullif(array_to_string(list_sort(list_distinct(list(t.lemma) FILTER (WHERE t.is_target))), ', '), '')
-         AS verbs,
-       coalesce(string_agg({_mark_piece('twitter')}, '' ORDER BY t.i), '') AS normalized,
-       bool_or(t.dep = 'ccomp') AS has_ccomp, {DEP_TEXT} AS dependencies, {POS_TEXT} AS pos,
-       {DETAIL_TEXT} AS details, any_value(d.text) AS text_orig
-FROM tok t JOIN documents d ON d.doc_id = t.doc_id GROUP BY t.doc_id HAVING bool_or(t.is_target)"""),
+    "process_batch": _tok(f""",
+agg AS (
+  SELECT doc_id, nullif(array_to_string(list_sort(list_distinct(list(lemma) FILTER (WHERE is_target))), ', '), '')
+           AS verbs,
+         coalesce(string_agg({_mark_piece('twitter')}, '' ORDER BY i), '') AS normalized,
+         bool_or(dep = 'ccomp') AS has_ccomp, {DEP_TEXT} AS dependencies, {POS_TEXT} AS pos,
+         {DETAIL_TEXT} AS details
+  FROM tok GROUP BY doc_id HAVING bool_or(is_target))
+SELECT agg.*, d.text AS text_orig FROM agg LEFT JOIN documents d ON d.doc_id = agg.doc_id"""),
 
     "pos_pairs": _tok(f""",
 pt AS (SELECT doc_id, {POS_TEXT} AS pos FROM tok GROUP BY doc_id),
