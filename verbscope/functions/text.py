@@ -97,10 +97,13 @@ def ascii_fold(c) -> Column:
     Covers Latin-1 Supplement and Latin Extended-A plus the marks in
     ``MULTI_CHAR_FOLDS``; other scripts are left as they are.
     """
-    out = _c(c)
+    col = _c(c)
+    out = col
     for a, b in MULTI_CHAR_FOLDS:
         out = F.replace(out, F.lit(a), F.lit(b))
-    return F.translate(out, FOLD_FROM, FOLD_TO)
+    # one scan decides whether the chain of multi-character replacements is needed
+    multi_class = "[" + "".join(a for a, _ in MULTI_CHAR_FOLDS) + "]"
+    return F.translate(F.when(col.rlike(multi_class), out).otherwise(col), FOLD_FROM, FOLD_TO)
 
 
 def normalize_text(c) -> Column:
@@ -131,11 +134,15 @@ def matches_all_terms(c, terms) -> Column:
     return cond
 
 
+def token_list(c) -> Column:
+    """I5 without the distinct step: strip, lower, delete punctuation, split on blanks."""
+    cleaned = F.regexp_replace(F.lower(_c(c)), f"[^{WORD}{SPACE}]+", "")
+    return F.split(F.regexp_replace(cleaned, f"^[{SPACE}]+|[{SPACE}]+$", ""), f"[{SPACE}]+")
+
+
 def token_set(c) -> Column:
     """Strip, lower, delete punctuation, split on blanks, distinct, drop ''."""
-    cleaned = F.regexp_replace(F.lower(_c(c)), f"[^{WORD}{SPACE}]+", "")
-    parts = F.split(F.regexp_replace(cleaned, f"^[{SPACE}]+|[{SPACE}]+$", ""), f"[{SPACE}]+")
-    return F.array_remove(F.array_distinct(parts), "")
+    return F.array_remove(F.array_distinct(token_list(c)), "")
 
 
 def intersects(tokens, values) -> Column:

@@ -203,6 +203,13 @@ def _fold_lower(c: Column) -> Column:
     return F.lower(ascii_fold(c))
 
 
+def _is_word_in(c: Column, words) -> Column:
+    """``lower(ascii_fold(c)) IN words``; folding never shortens a token, so tokens
+    longer than the longest word are rejected before the (costlier) fold."""
+    longest = max(len(w) for w in words)
+    return F.when(F.length(c) <= longest, _fold_lower(c).isin(*words)).otherwise(F.lit(False))
+
+
 def target_verbs(tokens="tokens") -> Column:
     """Distinct target-verb lemmas, sorted, joined by ', '; null when none."""
     arr = F.array_sort(F.array_distinct(F.transform(F.filter(tokens, lambda t: t["is_target"]),
@@ -228,10 +235,9 @@ def mark_text(tokens="tokens", mode: str = "twitter") -> Column:
     words = QUE_VARIANTS if mode == "variants" else QUE_WORDS
 
     def one(t):
-        folded = _fold_lower(t["text"])
         up = F.upper(t["text"])
         lo = F.lower(t["text"])
-        is_que = folded.isin(*words)
+        is_que = _is_word_in(t["text"], words)
         ccomp = t["dep"] == "ccomp"
         if mode == "variants":
             body = (F.when(t["is_punct"], t["text"]).when(is_que, up)
@@ -356,32 +362,36 @@ def parse_pos_text(df: DataFrame, col: str, id_col: str) -> DataFrame:
     pat = "^(.+)\\(([\\p{L}\\p{N}_]+)\\)$"
     e = df.select(id_col, F.posexplode(F.split(F.trim(F.col(col)), "[ \\t\\n\\r\\f]+")).alias("i", "piece"))
     e = e.where(F.col("piece") != "")
-    m = F.col("piece").rlike(pat)
+    # group 2 is non-empty exactly when the pattern matches: two regex passes, not three
+    e = e.select(id_col, "i", "piece", F.regexp_extract("piece", pat, 1).alias("_tok"),
+                 F.regexp_extract("piece", pat, 2).alias("_pos"))
+    m = F.col("_pos") != ""
     return e.select(id_col, F.col("i").cast("int").alias("i"),
-                    F.when(m, F.regexp_extract("piece", pat, 1)).otherwise(F.col("piece")).alias("token"),
-                    F.when(m, F.regexp_extract("piece", pat, 2)).alias("pos"))
+                    F.when(m, F.col("_tok")).otherwise(F.col("piece")).alias("token"),
+                    F.when(m, F.col("_pos")).alias("pos"))
 
 
 def query_match(docs: DataFrame, verbs: DataFrame, id_col: str, text_col: str, topic_col: str) -> DataFrame:
     """Per topic (a verb), documents whose token set holds any conjugation listed in
-    the verb's ``indicativo`` (blank-separated; brackets, quotes and OR are removed by
-    the same cleaning as the text). Output ``topic, matched, total``.
+    the verb's ``indicativo`` (blank-separated; ASCII-folded and cleaned like the text,
+    the query word ``or`` dropped). Output ``topic, matched, total``.
 
-    Written as explode + equi-join on (topic, token) -> distinct document; the
-    conjugation table is a bounded broadcast.
+    The conjugations are gathered per topic into one small array (the dimension is
+    bounded and broadcast), joined to the documents by topic, and each document is
+    tested with ``arrays_overlap`` on its own tokens -- no token rows are shuffled;
+    only the final per-topic counts are (partially aggregated).
     """
-    from ..functions.text import token_set
+    from ..functions.text import token_list, token_set
     conj = (verbs.select(F.col("verb").alias("_topic"),
                          F.explode(token_set(ascii_fold(F.col("indicativo")))).alias("_tok"))
-            .where(F.col("_tok") != "or").distinct())
-    d = docs.select(id_col, F.col(topic_col).alias("_topic"), token_set(ascii_fold(F.col(text_col))).alias("_ts"))
-    toks = d.select(id_col, "_topic", F.explode("_ts").alias("_tok"))
-    hit = toks.join(bounded_broadcast(conj), ["_topic", "_tok"], "left_semi").select(id_col, "_topic").distinct()
-    total = d.groupBy("_topic").agg(F.count(F.lit(1)).alias("total"))
-    matched = hit.groupBy("_topic").agg(F.count(F.lit(1)).alias("matched"))
-    return (total.join(matched, "_topic", "left")
-            .select(F.col("_topic").alias("topic"), F.coalesce("matched", F.lit(0)).cast("long").alias("matched"),
-                    F.col("total").cast("long").alias("total")))
+            .where(F.col("_tok") != "or")
+            .groupBy("_topic").agg(F.collect_set("_tok").alias("_conj")))
+    d = docs.select(id_col, F.col(topic_col).alias("_topic"), F.col(text_col).alias("_text"))
+    d = d.join(bounded_broadcast(conj), "_topic", "left")
+    # set semantics are kept by arrays_overlap itself; no distinct pass over the tokens
+    hit = F.coalesce(F.arrays_overlap(token_list(ascii_fold(F.col("_text"))), F.col("_conj")), F.lit(False))
+    return (d.groupBy("_topic").agg(F.count(F.when(hit, 1)).alias("matched"), F.count(F.lit(1)).alias("total"))
+            .select(F.col("_topic").alias("topic"), F.col("matched").cast("long"), F.col("total").cast("long")))
 
 
 # ---------------------------------------------------------------------------
@@ -473,7 +483,7 @@ def mark_heads_text(toks: Column, head_i: Column, ccomp_i: Column, v2_i: Column)
                 .when(t["i"] == head_i, F.concat(F.lit(">>"), up))
                 .when((t["i"] == v2_i) & (v2_i != ccomp_i), F.concat(up, F.lit("[V2]")))
                 .when(t["i"] == ccomp_i, F.concat(up, F.lit("<<")))
-                .when(_fold_lower(t["text"]).isin(*QUE_VARIANTS), up)
+                .when(_is_word_in(t["text"], QUE_VARIANTS), up)
                 .otherwise(F.lower(t["text"])))
         return F.concat(F.lit(" "), body)
     return F.array_join(F.transform(toks, one), "")

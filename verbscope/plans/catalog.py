@@ -22,12 +22,19 @@ from ..operators import tokens as TK
 from .bindings import BINDING_COMPLEMENTISERS, CORPUS_HEADERS, table, verbs_frame
 
 
-def _t(spark, sf, name):
-    return table(spark, sf, name)
+# tables whose rows carry whole texts: heavy per-row work follows the scan
+_TEXT_TABLES = ("documents", "conversations", "pages")
+
+
+def _t(spark, sf, name, spread: bool = True):
+    from ..sources.readers import spread_if_narrow
+    df = table(spark, sf, name)
+    return spread_if_narrow(df) if spread and name in _TEXT_TABLES else df
 
 
 def _long(spark: SparkSession, sf: str) -> DataFrame:
-    return TK.annotate(_t(spark, sf, "documents"), verbs_frame(spark))
+    # annotate() hash-partitions the documents on doc_id itself: no extra spread
+    return TK.annotate(_t(spark, sf, "documents", spread=False), verbs_frame(spark))
 
 
 def _nested(spark: SparkSession, sf: str) -> DataFrame:

@@ -26,6 +26,18 @@ def _csv(spark: SparkSession, schema: T.StructType, sep: str, corrupt: bool = Tr
     return r
 
 
+def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster when a scan yields fewer partitions than
+    the cluster can run at once (e.g. a single-row-group Parquet file), so per-row work
+    after the scan runs in parallel. A plan-time decision: on a large, many-file input
+    the scan is already wide and this returns ``df`` unchanged (no shuffle added)."""
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_table(spark: SparkSession, path, schema: T.StructType = S.TWEETS_RAW, columns=None,
                sep: str = CSV_SEP, lang: str | None = None, topic: str | None = None) -> DataFrame:
     """A1: ``~``-separated table with a header; quoted fields may span lines; rows
