@@ -73,7 +73,7 @@ def with_batch_id(df: DataFrame, order, batch_size: int | None = None, n_batches
 PAGES_PER_CHUNK = 100_000
 
 
-def _fold_state(n_rows: np.ndarray, batch_size: int, start: int):
+def _fold_state(n_rows, batch_size: int, start: int):
     """Greedy fill from ``start``; returns (closes before each page, end state, closes)."""
     s = start
     closed = 0
@@ -87,6 +87,37 @@ def _fold_state(n_rows: np.ndarray, batch_size: int, start: int):
     return before, s, closed
 
 
+def _runs(keys: list):
+    """Start/end offsets of runs of equal consecutive keys."""
+    starts = [0]
+    for j in range(1, len(keys)):
+        if keys[j] != keys[j - 1]:
+            starts.append(j)
+    ends = starts[1:] + [len(keys)]
+    return list(zip(starts, ends))
+
+
+def _grouped_partition(batches, key_cols):
+    """Re-assemble whole groups from a partition sorted by ``key_cols``: yields one
+    pandas frame per group. Only the group under construction is held, never the
+    whole partition (a group is at most one chunk of one topic)."""
+    carry = None
+    for pdf in batches:
+        if carry is not None:
+            pdf = pd.concat([carry, pdf], ignore_index=True)
+            carry = None
+        if pdf.empty:
+            continue
+        keys = list(zip(*[pdf[c].tolist() for c in key_cols]))
+        runs = _runs(keys)
+        for a, e in runs[:-1]:
+            yield pdf.iloc[a:e]
+        a, e = runs[-1]
+        carry = pdf.iloc[a:e]
+    if carry is not None and not carry.empty:
+        yield carry
+
+
 def page_batches(pages: DataFrame, topic: str, page: str, rows: str, batch_size: int,
                  num_batches: int | None = None, chunk_pages: int = PAGES_PER_CHUNK) -> DataFrame:
     """per topic, add pages in page order until the batch holds >= ``batch_size``
@@ -95,89 +126,88 @@ def page_batches(pages: DataFrame, topic: str, page: str, rows: str, batch_size:
     The greedy fill is sequential within a topic. It is computed as a two-level scan
     so that a topic with very many pages is spread over many tasks:
 
-    1. pages are cut into chunks of ``chunk_pages`` consecutive page numbers; for every
-       chunk after the first, the fill state it leaves behind is tabulated for each
-       possible incoming state ``0 .. batch_size-1`` (state space is bounded);
-    2. per topic, the small chunk tables are chained in chunk order to get each
+    1. pages are cut into chunks of ``chunk_pages`` consecutive page numbers; the first
+       chunk of a topic is folded from the empty state; for every later chunk the
+       state it leaves behind is tabulated for each possible incoming state
+       ``0 .. batch_size-1`` (the state space is bounded by the batch size);
+    2. per topic, the small chunk summaries are chained in chunk order to get each
        chunk's incoming state and the number of batches closed before it;
     3. each chunk is replayed from its incoming state to number its pages.
+
+    Each pass is a ``mapInPandas`` over data partitioned by its key and sorted within
+    partitions, folding groups one after another (no per-group Python call).
     """
     b = int(batch_size)
     p = pages.select(F.col(topic).alias("topic"), F.col(page).cast("long").alias("page"),
-                     F.col(rows).cast("long").alias("n"))
+                     F.coalesce(F.col(rows).cast("long"), F.lit(0)).alias("n"))
     p = p.withColumn("chunk", F.floor(F.col("page") / F.lit(chunk_pages)).cast("long"))
-    topic_type = pages.schema[topic].dataType.simpleString()
-
-    # 1. transition table per chunk (chunk 0 of a topic never needs one: it starts empty)
-    table_schema = f"topic {topic_type}, chunk long, first boolean, ends array<int>, closes array<int>"
-
-    def table_fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("page")
-        n = pdf["n"].to_numpy(dtype=np.int64)
-        s = np.arange(b, dtype=np.int64)
-        c = np.zeros(b, dtype=np.int64)
-        for x in n:
-            s += x
-            hit = s >= b
-            c += hit
-            s[hit] = 0
-        return pd.DataFrame({"topic": [key[0]], "chunk": [key[1]], "first": [False],
-                             "ends": [s.astype(np.int32)], "closes": [c.astype(np.int32)]})
-
-    first_chunk = p.groupBy("topic").agg(F.min("chunk").alias("chunk"))
-    later = p.join(first_chunk.withColumn("_first", F.lit(True)), ["topic", "chunk"], "left_anti")
-    tables = later.groupBy("topic", "chunk").applyInPandas(table_fn, table_schema)
-    chunk_rows = (first_chunk.select("topic", "chunk", F.lit(True).alias("first"),
-                                     F.lit(None).cast("array<int>").alias("ends"),
-                                     F.lit(None).cast("array<int>").alias("closes"))
-                  .unionByName(tables))
-
-    # 2. chain tables per topic: incoming state and closes before each chunk.
-    # The first chunk is replayed here from state 0 via its own page list in step 3,
-    # so its end state is needed: compute it from a scalar fold of that chunk.
-    def first_fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("page")
-        _, s, c = _fold_state(pdf["n"].to_numpy(), b, 0)
-        return pd.DataFrame({"topic": [key[0]], "chunk": [key[1]], "end0": [s], "close0": [c]})
-
-    firsts = (p.join(first_chunk, ["topic", "chunk"], "left_semi").groupBy("topic", "chunk")
-              .applyInPandas(first_fn, f"topic {topic_type}, chunk long, end0 long, close0 long"))
-
-    start_schema = f"topic {topic_type}, chunk long, start_state long, start_closed long"
-
-    def chain_fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("chunk")
-        out_chunk, out_state, out_closed = [], [], []
-        st, cl = 0, 0
-        for row in pdf.itertuples(index=False):
-            out_chunk.append(row.chunk)
-            out_state.append(st)
-            out_closed.append(cl)
-            if row.first:
-                cl += int(row.close0)
-                st = int(row.end0)
+    tt = pages.schema[topic].dataType.simpleString()
+
+    # 1. chunk summaries
+    first_chunk = p.groupBy("topic").agg(F.min("chunk").alias("chunk")).withColumn("first", F.lit(True))
+    flagged = p.join(first_chunk, ["topic", "chunk"], "left").withColumn(
+        "first", F.coalesce(F.col("first"), F.lit(False)))
+    summary_schema = (f"topic {tt}, chunk long, first boolean, end0 long, close0 long, "
+                      f"ends array<int>, closes array<int>")
+
+    def summarize(batches):
+        out = []
+        for g in _grouped_partition(batches, ["topic", "chunk"]):
+            g = g.sort_values("page")
+            n = g["n"].to_numpy(dtype=np.int64)
+            t, ch, first = g["topic"].iloc[0], int(g["chunk"].iloc[0]), bool(g["first"].iloc[0])
+            if first:
+                _, s, c = _fold_state(n, b, 0)
+                out.append((t, ch, True, s, c, None, None))
             else:
-                cl += int(row.closes[st])
-                st = int(row.ends[st])
-        return pd.DataFrame({"topic": [key[0]] * len(out_chunk), "chunk": out_chunk,
-                             "start_state": out_state, "start_closed": out_closed})
-
-    chain_in = chunk_rows.join(firsts, ["topic", "chunk"], "left")
-    starts = chain_in.groupBy("topic").applyInPandas(chain_fn, start_schema)
-
-    # 3. replay each chunk from its incoming state
-    out_schema = f"topic {topic_type}, page long, n long, batch long"
-
-    def replay_fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("page")
-        st = int(pdf["start_state"].iloc[0])
-        cl = int(pdf["start_closed"].iloc[0])
-        before, _, _ = _fold_state(pdf["n"].to_numpy(), b, st)
-        return pd.DataFrame({"topic": pdf["topic"].to_numpy(), "page": pdf["page"].to_numpy(),
-                             "n": pdf["n"].to_numpy(), "batch": before + cl + 1})
-
-    res = (p.join(starts, ["topic", "chunk"]).groupBy("topic", "chunk")
-           .applyInPandas(replay_fn, out_schema))
+                sv = np.arange(b, dtype=np.int64)
+                cv = np.zeros(b, dtype=np.int64)
+                for x in n:
+                    sv += x
+                    hit = sv >= b
+                    cv += hit
+                    sv[hit] = 0
+                out.append((t, ch, False, None, None, sv.astype(np.int32).tolist(), cv.astype(np.int32).tolist()))
+            if len(out) >= 1024:
+                yield pd.DataFrame(out, columns=["topic", "chunk", "first", "end0", "close0", "ends", "closes"])
+                out = []
+        yield pd.DataFrame(out, columns=["topic", "chunk", "first", "end0", "close0", "ends", "closes"])
+
+    summaries = (flagged.repartition("topic", "chunk").sortWithinPartitions("topic", "chunk", "page")
+                 .mapInPandas(summarize, summary_schema))
+
+    # 2. chain chunk summaries per topic (one small row per chunk)
+    start_schema = f"topic {tt}, chunk long, start_state long, start_closed long"
+
+    def chain(batches):
+        out = []
+        for g in _grouped_partition(batches, ["topic"]):
+            g = g.sort_values("chunk")
+            st, cl = 0, 0
+            for row in g.itertuples(index=False):
+                out.append((row.topic, row.chunk, st, cl))
+                if row.first:
+                    cl += int(row.close0)
+                    st = int(row.end0)
+                else:
+                    cl += int(row.closes[st])
+                    st = int(row.ends[st])
+        yield pd.DataFrame(out, columns=["topic", "chunk", "start_state", "start_closed"])
+
+    starts = summaries.repartition("topic").sortWithinPartitions("topic", "chunk").mapInPandas(chain, start_schema)
+
+    # 3. replay every chunk from its incoming state
+    out_schema = f"topic {tt}, page long, n long, batch long"
+
+    def replay(batches):
+        for g in _grouped_partition(batches, ["topic", "chunk"]):
+            g = g.sort_values("page")
+            before, _, _ = _fold_state(g["n"].to_numpy(), b, int(g["start_state"].iloc[0]))
+            yield pd.DataFrame({"topic": g["topic"].to_numpy(), "page": g["page"].to_numpy(),
+                                "n": g["n"].to_numpy(), "batch": before + int(g["start_closed"].iloc[0]) + 1})
+
+    res = (p.join(starts, ["topic", "chunk"]).repartition("topic", "chunk")
+           .sortWithinPartitions("topic", "chunk", "page").mapInPandas(replay, out_schema))
     if num_batches is not None:
         res = res.where(F.col("batch") <= F.lit(num_batches))
     return res.withColumnRenamed("topic", topic).withColumnRenamed("page", page).withColumnRenamed("n", rows)
