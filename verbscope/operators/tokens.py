@@ -184,13 +184,30 @@ def annotate_with(docs: DataFrame, annotator, verbs: DataFrame, id_col: str = "d
     return add_token_features(long, id_col).select(id_col, *TOKEN_COLS, "in_dim", "is_target", "c", "vc")
 
 
-def nest_tokens(long: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Long -> nested: ``<id>, tokens`` sorted by ``i`` (group = one document)."""
-    fields = [c for c in long.columns if c != id_col]
+# Token fields read by the text outputs (J3-J10, J16) and by the head / distance
+# operators (J12-J15, F4); nesting only these keeps the per-document arrays small.
+TEXT_FIELDS = ("i", "text", "lemma", "pos", "dep", "is_stop", "is_punct", "is_target")
+DISTANCE_FIELDS = ("i", "text", "lemma", "pos", "tag", "dep", "head", "is_punct", "in_dim", "c", "vc")
+
+
+def nest_tokens(long: DataFrame, id_col: str = "doc_id", fields=None) -> DataFrame:
+    """Long -> nested: ``<id>, tokens`` sorted by ``i`` (group = one document).
+
+    ``fields`` picks the token fields to carry (``i`` first; default: all)."""
+    fields = list(fields) if fields else [c for c in long.columns if c != id_col]
+    if fields[0] != "i":
+        fields = ["i"] + [f for f in fields if f != "i"]
     return long.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct(*fields))).alias("tokens"))
 
 
+def doc_target_verbs(long: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """J2 from the long form: ``<id>, verbs`` (sorted distinct target lemmas, an empty
+    list when none). Only target lemmas are collected per document."""
+    return long.groupBy(id_col).agg(F.array_sort(F.array_distinct(
+        F.collect_list(F.when(F.col("is_target"), F.col("lemma"))))).alias("verbs"))
+
+
 def token_long(nested: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """J11 ``token_details``: nested -> long (``inline`` of the sorted array)."""
     return nested.select(id_col, F.inline("tokens"))

@@ -37,8 +37,21 @@ def _long(spark: SparkSession, sf: str) -> DataFrame:
     return TK.annotate(_t(spark, sf, "documents", spread=False), verbs_frame(spark))
 
 
-def _nested(spark: SparkSession, sf: str) -> DataFrame:
-    return TK.nest_tokens(_long(spark, sf))
+def _nested(spark: SparkSession, sf: str, fields=TK.TEXT_FIELDS) -> DataFrame:
+    return TK.nest_tokens(_long(spark, sf), fields=fields)
+
+
+def _nested_dist(spark: SparkSession, sf: str) -> DataFrame:
+    return _nested(spark, sf, TK.DISTANCE_FIELDS)
+
+
+def _doc_verbs(spark: SparkSession, sf: str, as_text: bool = False) -> DataFrame:
+    """Per document (with at least one token): sorted target verbs; text form joins
+    them with ', ' and is null when there is none."""
+    v = TK.doc_target_verbs(_long(spark, sf))
+    if as_text:
+        v = v.withColumn("verbs", F.when(F.size("verbs") > 0, F.array_join("verbs", ", ")))
+    return v
 
 
 # ---------------------------------------------------------------------------
@@ -122,7 +135,7 @@ def all_terms(spark, sf):
 
 
 def verb_then_que(spark, sf):
-    return TK.verb_then_que(_nested(spark, sf), words=BINDING_COMPLEMENTISERS)
+    return TK.verb_then_que(_nested(spark, sf, ("i", "lemma", "is_target")), words=BINDING_COMPLEMENTISERS)
 
 
 def known_verbs(spark, sf):
@@ -248,13 +261,12 @@ def null_text_split(spark, sf):
 
 
 def verb_type_counts(spark, sf):
-    n = _nested(spark, sf).select("doc_id", TK.target_verb_list().alias("verbs"))
-    return AG.verb_type_counts(n, "doc_id", "verbs", verbs_frame(spark))
+    return AG.verb_type_counts(_doc_verbs(spark, sf), "doc_id", "verbs", verbs_frame(spark))
 
 
 def write_by_verb_counts(spark, sf):
     from ..sources.sinks import by_verb_rows
-    n = _nested(spark, sf).select("doc_id", TK.target_verbs().alias("verbs"))
+    n = _doc_verbs(spark, sf, as_text=True).where(F.col("verbs").isNotNull())
     rows = by_verb_rows(n, "verbs", verbs_frame(spark))
     return rows.groupBy("verb_type", "verb").agg(F.count(F.lit(1)).alias("n"))
 
@@ -270,7 +282,10 @@ def _doc_text(name, col_fn):
     return q
 
 
-target_verbs = _doc_text("verbs", TK.target_verbs)
+def target_verbs(spark, sf):
+    return _doc_verbs(spark, sf, as_text=True)
+
+
 mark_text = _doc_text("normalized", lambda: TK.mark_text(mode="twitter"))
 mark_text_corpus = _doc_text("normalized", lambda: TK.mark_text(mode="corpus"))
 mark_text_variants = _doc_text("normalized", lambda: TK.mark_text(mode="variants"))
@@ -281,13 +296,11 @@ has_ccomp = _doc_text("has_ccomp", TK.has_ccomp)
 
 
 def multi_verb(spark, sf):
-    n = _nested(spark, sf).select("doc_id", TK.target_verbs().alias("verbs"))
-    return TK.multi_verb(n, "verbs").select("doc_id", "verbs")
+    return TK.multi_verb(_doc_verbs(spark, sf, as_text=True), "verbs").select("doc_id", "verbs")
 
 
 def with_target_verbs(spark, sf):
-    n = _nested(spark, sf).select("doc_id", TK.target_verbs().alias("verbs"))
-    return TK.has_target_verbs(n, "verbs").select("doc_id")
+    return TK.has_target_verbs(_doc_verbs(spark, sf), "verbs").select("doc_id")
 
 
 def process_batch(spark, sf):
@@ -305,16 +318,16 @@ def verb_runs(spark, sf):
 
 
 def ccomp_heads(spark, sf):
-    return TK.ccomp_heads(_nested(spark, sf))
+    return TK.ccomp_heads(_nested_dist(spark, sf))
 
 
 def verb_distance(spark, sf):
-    return TK.next_verb_distance(_nested(spark, sf)).select(
+    return TK.next_verb_distance(_nested_dist(spark, sf)).select(
         "doc_id", "head", "head_i", "ccomp_i", "ccomp_dist", "v2", "v2_i", "v2_dist")
 
 
 def mark_heads(spark, sf):
-    return TK.next_verb_distance(_nested(spark, sf), with_text=True, last_per_lemma=True).select(
+    return TK.next_verb_distance(_nested_dist(spark, sf), with_text=True, last_per_lemma=True).select(
         "doc_id", "head", "head_i", "ccomp_i", "v2_i", "text_norm")
 
 
@@ -359,7 +372,7 @@ def merge_tables(spark, sf):
 
 
 def clean_labels(spark, sf):
-    n = _nested(spark, sf).select("doc_id", TK.target_verbs().alias("verbs"))
+    n = _doc_verbs(spark, sf, as_text=True)
     return n.where(F.col("verbs").isNotNull()).select("doc_id", TX.letters_only("verbs").alias("label"))
 
 
@@ -374,12 +387,11 @@ def highlight(spark, sf):
 
 
 def explode_verbs(spark, sf):
-    n = _nested(spark, sf).select("doc_id", TK.target_verbs().alias("verbs"))
-    return TK.explode_verbs(n, "verbs").select("doc_id", "verb")
+    return TK.explode_verbs(_doc_verbs(spark, sf), "verbs").select("doc_id", "verb")
 
 
 def explode_heads(spark, sf):
-    return TK.ccomp_heads(_nested(spark, sf)).select("doc_id", F.col("head_lemma").alias("verb")).distinct()
+    return TK.ccomp_heads(_nested_dist(spark, sf)).select("doc_id", F.col("head_lemma").alias("verb")).distinct()
 
 
 def head_rows(spark, sf):
