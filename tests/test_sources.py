@@ -148,3 +148,12 @@ def test_spread_if_narrow(spark):
     assert R.spread_if_narrow(df, 4).rdd.getNumPartitions() == 4
     wide = spark.range(0, 10, numPartitions=8)
     assert R.spread_if_narrow(wide, 4) is wide
+
+
+def test_page_meta(spark, tmp_path):
+    p = tmp_path / "pm"
+    p.mkdir()
+    last = dict(PAGE, meta={"next_token": None, "result_count": 0}, data=[])
+    (p / "a.json").write_text(json.dumps(PAGE) + "\n" + json.dumps(last) + "\n")
+    got = rows(R.page_meta(R.read_pages(spark, str(p))), "page_size", "next_token")
+    assert got == sorted([(2, "abc"), (0, None)], key=repr)

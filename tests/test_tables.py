@@ -133,3 +133,32 @@ def test_empty_frames(spark):
     assert SE.merge_pull(e, e, "key", "pos").count() == 0
     kept, reg = ST.update_registry(e, "id", spark.createDataFrame([], "id string"))
     assert kept.count() == 0 and reg.count() == 0
+
+
+def test_filters(spark):
+    from verbscope.operators import filters as FL
+    df = spark.createDataFrame([(1, "creer!"), (2, "comer"), (3, None)], "id int, verb string")
+    verbs = spark.createDataFrame([("creer", "e", "", 0)], "verb string, verb_type string, indicativo string, ord int")
+    known, unknown = FL.filter_known_verbs(df, "verb", verbs)
+    assert rows(known, "id") == [(1,)] and rows(unknown, "id") == [(2,), (3,)]
+    assert rows(FL.drop_null_text(df, "verb"), "id") == [(1,), (2,)]
+    d = spark.createDataFrame([(" creo[ROOT] venga[ccomp]",), (" x[dep]",)], "d string")
+    assert [r[0] for r in d.select(FL.has_dependency("d")).collect()] == [True, False]
+
+
+def test_append_pages_meta_latest(spark):
+    p1 = {"tweets": spark.createDataFrame([("1",)], "tweet_id string"),
+          "meta": spark.createDataFrame([(1, "tok1")], "page int, next_token string")}
+    p2 = {"tweets": spark.createDataFrame([("2",)], "tweet_id string"),
+          "meta": spark.createDataFrame([(2, None)], "page int, next_token string")}
+    out = SE.append_pages([p1, p2])
+    assert out["tweets"].count() == 2
+    assert rows(out["meta"]) == [(2, None)]
+
+
+def test_write_by_type(spark, tmp_path):
+    from verbscope.sources import sinks as K
+    K.write_by_type({"tweets": spark.createDataFrame([("1",)], "tweet_id string"),
+                     "users": spark.createDataFrame([("u",)], "user_id string")}, str(tmp_path / "o"))
+    back = spark.read.parquet(str(tmp_path / "o" / "data_type=tweets"))
+    assert back.count() == 1

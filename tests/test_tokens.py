@@ -191,3 +191,10 @@ def test_empty_frames(spark):
     assert TK.next_verb_distance(n).count() == 0
     assert TK.verb_runs(long).count() == 0
     assert "tokens" in n.columns
+
+
+def test_distance_table(spark):
+    n = TK.nest_tokens(hand_doc(spark, DIST))
+    r = TK.distance_table(n).first()
+    assert r["verbs"] == "creer" and r["ccomp_dist"] == 3 and r["text_norm"].startswith(" >>CREO")
+    assert r["details"].startswith("<creo>(creer,False)")

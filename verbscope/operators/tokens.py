@@ -532,3 +532,17 @@ def next_verb_distance(nested: DataFrame, id_col: str = "doc_id", with_text: boo
         dist = F.transform(dist, lambda d: d.withField(
             "text_norm", mark_heads_text(toks, d["head_i"], d["ccomp_i"], d["v2_i"])))
     return nested.select(id_col, F.inline(dist))
+
+
+def distance_table(nested: DataFrame, id_col: str = "doc_id", text: DataFrame | None = None,
+                   text_col: str = "text", last_per_lemma: bool = False) -> DataFrame:
+    """The full distance result per head pair -- id, the document's target verbs,
+    head, ccomp, distances, V2, marked text (J15), dependency text and token details;
+    ``text`` (``<id>, text_col``) adds the original text, joined on the id."""
+    d = nested.select(id_col, "tokens", target_verbs().alias("verbs"), dep_text().alias("dependencies"),
+                      detail_text().alias("details"))
+    pairs = next_verb_distance(d.select(id_col, "tokens"), id_col, with_text=True, last_per_lemma=last_per_lemma)
+    out = pairs.join(d.drop("tokens"), id_col)
+    if text is not None:
+        out = out.join(text.select(id_col, F.col(text_col).alias("text_orig")), id_col, "left")
+    return out

@@ -93,6 +93,14 @@ def explode_pages(pages: DataFrame) -> dict:
     return {"tweets": tweets, "users": users, "places": places, "errors": errors, "meta": meta}
 
 
+def page_meta(pages: DataFrame) -> DataFrame:
+    """E9 per page: rows in the page (``page_size``) and the continuation token
+    (``next_token``, null on the last page)."""
+    keep = [c for c in ("topic", "page") if c in pages.columns]
+    return pages.select(*keep, F.coalesce(F.size("data"), F.lit(0)).cast("long").alias("page_size"),
+                        F.col("meta.next_token").alias("next_token"))
+
+
 def flatten_struct(df: DataFrame, sep: str = ".") -> DataFrame:
     """A5: nested struct columns -> one column per leaf named ``a.b.c`` (or with
     ``sep``); arrays are left as they are."""
