@@ -84,6 +84,16 @@ DEFAULT_LEXICON = (
 )
 # A word (lower case) that ends like an infinitive or gerund is tagged VERB.
 VERB_SUFFIX = "^.{2,}(ar|er|ir|ando|iendo)$"
+VERB_ENDINGS = ("ar", "er", "ir", "ando", "iendo")
+
+
+def _verb_suffix(lw: Column) -> Column:
+    """``lw rlike VERB_SUFFIX`` without a regex: an ending plus at least two characters."""
+    n = F.length(lw)
+    cond = F.lit(False)
+    for e in VERB_ENDINGS:
+        cond = cond | (lw.endswith(e) & (n >= len(e) + 2))
+    return cond
 
 
 def lexicon_frame(spark, lexicon=DEFAULT_LEXICON) -> DataFrame:
@@ -139,13 +149,14 @@ def annotate(docs: DataFrame, verbs: DataFrame, id_col: str = "doc_id", text_col
     * dep: 'ccomp' for a VERB whose head verb has a lemma of the verb dimension, else 'dep'.
     """
     spark = docs.sparkSession
-    t = tokenize_long(docs, id_col, text_col, partitions)
-    lw = F.lower(F.col("text"))
+    t = tokenize_long(docs, id_col, text_col, partitions).withColumn("_lw", F.lower(F.col("text")))
+    lw = F.col("_lw")
     lex = F.broadcast(lexicon_frame(spark, lexicon))  # fixed, ~100 rows
     t = t.join(lex, lw == F.col("lex_word"), "left")
-    is_punct = F.col("text").rlike(f"^[^{WORD}{SPACE}]$")
+    # a punctuation token is a single character (the tokenizer splits them off)
+    is_punct = F.when(F.length("text") == 1, F.col("text").rlike(f"^[^{WORD}{SPACE}]$")).otherwise(F.lit(False))
     pos = (F.when(is_punct, "PUNCT").when(F.col("lex_pos").isNotNull(), F.col("lex_pos"))
-           .when(lw.rlike(VERB_SUFFIX), "VERB").otherwise("NOUN"))
+           .when(_verb_suffix(lw), "VERB").otherwise("NOUN"))
     t = t.select(id_col, "i", "text",
                  F.coalesce(F.col("lex_lemma"), lw).alias("lemma"),
                  pos.alias("pos"),
