@@ -162,3 +162,32 @@ def test_write_by_type(spark, tmp_path):
                      "users": spark.createDataFrame([("u",)], "user_id string")}, str(tmp_path / "o"))
     back = spark.read.parquet(str(tmp_path / "o" / "data_type=tweets"))
     assert back.count() == 1
+
+
+def test_columns_ops(spark):
+    from verbscope.operators import columns as CO
+    df = spark.createDataFrame([("1", "2021-11-07 22:10:00", "x", 3, 4)], "id string, created_at string, a string, r int, q int")
+    df = CO.rename_columns(df, {"id": "tweet_id", "missing": "nope"})
+    assert "tweet_id" in df.columns
+    t = CO.convert_types(df, {"created_at": "datetime", "a": "int", "absent": "int"}).first()
+    assert t["created_at"].year == 2021 and t["a"] is None
+    c = CO.combine_columns(df, {"rq": ["r", "q"]}, as_text=True).first()
+    assert c["rq"] == "(3, 4)"
+    s = CO.combine_columns(df, {"rq": ["r", "q"]})
+    assert s.schema["rq"].dataType.simpleString() == "struct<r:int,q:int>" and "r" not in s.columns
+    w = spark.createDataFrame([(1,)], "`BIBLIOGRAFÍA` int")
+    assert CO.standardize_columns(w).columns == ["bibliografia"]
+    assert CO.drop_columns(df, ["a", "zzz"]).columns == ["tweet_id", "created_at", "r", "q"]
+
+
+def test_sampling_stable_and_exact(spark):
+    from verbscope.operators import sampling as SA
+    df = spark.range(1000).toDF("id")
+    a = rows(SA.sample_fraction(df.repartition(1), 0.2, "id", seed=5))
+    b = rows(SA.sample_fraction(df.repartition(7), 0.2, "id", seed=5))
+    assert a == b and 100 < len(a) < 300
+    assert SA.sample_n(df, 25, "id", seed=5).count() == 25
+    assert rows(SA.sample_n(df.repartition(3), 25, "id", seed=5)) == rows(SA.sample_n(df, 25, "id", seed=5))
+    assert [r["id"] for r in SA.head(df, 3, "id").collect()] == [0, 1, 2]
+    assert [r["id"] for r in SA.tail(df, 2, "id").collect()] == [999, 998]
+    assert SA.row_at(df, 100, "id").first()["id"] == 100
