@@ -527,7 +527,9 @@ def next_verb_distance(nested: DataFrame, id_col: str = "doc_id", with_text: boo
     ``with_text`` adds the J15 marked text per pair.
     """
     toks = F.col("tokens")
-    pairs = ccomp_pairs()
+    # computed once per document, then referenced (lambdas would re-evaluate it)
+    nested = nested.withColumn("_pairs", ccomp_pairs())
+    pairs = F.col("_pairs")
     if last_per_lemma:
         # keep, per head lemma, the pair with the largest ccomp index (dict overwrite)
         lemmas = F.array_distinct(F.transform(pairs, lambda p: p["head_lemma"]))
@@ -536,6 +538,9 @@ def next_verb_distance(nested: DataFrame, id_col: str = "doc_id", with_text: boo
             lambda p: F.struct(p["ccomp_i"].alias("ccomp_i"), p["head_lemma"].alias("head_lemma"),
                                p["head_text"].alias("head_text"), p["head_i"].alias("head_i"),
                                p["ccomp_text"].alias("ccomp_text")))))
+    if last_per_lemma:
+        nested = nested.withColumn("_pairs", pairs)
+        pairs = F.col("_pairs")
     nested = nested.withColumn("_vidx", F.transform(F.filter("tokens", lambda t: t["tag"].isin(*VERB_TAGS)),
                                                     lambda t: t["i"]))
     dist = F.transform(pairs, lambda p: _distance_struct(toks, F.col("_vidx"), p))
