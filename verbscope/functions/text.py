@@ -198,5 +198,10 @@ DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSSX")
 
 
 def parse_created_at(c) -> Column:
-    """First format that parses wins; failures give null (UTC session)."""
-    return F.coalesce(*[F.try_to_timestamp(_c(c), F.lit(f)) for f in DATE_FORMATS])
+    """First format that parses wins; failures give null.
+
+    Both formats are read as UTC instants whatever the session time zone: the
+    zone-less form gets an explicit ``+0000``, the API form carries ``Z``."""
+    col = _c(c)
+    utc_plain = F.try_to_timestamp(F.concat(col, F.lit("+0000")), F.lit(DATE_FORMATS[0] + "Z"))
+    return F.coalesce(utc_plain, F.try_to_timestamp(col, F.lit(DATE_FORMATS[1])))

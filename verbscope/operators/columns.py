@@ -62,7 +62,11 @@ def convert_types(df: DataFrame, type_map: dict, date_formats=None) -> DataFrame
             continue
         if t == "datetime":
             src = F.col(c).cast("string")
-            cols[c] = F.coalesce(*[F.try_to_timestamp(src, F.lit(f)) for f in fmts])
+            if date_formats is None:
+                from ..functions.text import parse_created_at
+                cols[c] = parse_created_at(src)
+            else:
+                cols[c] = F.coalesce(*[F.try_to_timestamp(src, F.lit(f)) for f in fmts])
         elif t == "int":
             cols[c] = F.col(c).try_cast("bigint")
         elif t == "float":
