@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from verbscope.plans.bindings import TABLES
+from verbscope.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,7 +17,7 @@ def test_entry_schema(spark):
 
 
 def test_every_query_has_oracle_or_is_sampling():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(QUERIES) - set(E.oracle_sql())
     assert missing == {"sample_fraction", "sample_n"}
 
 
