@@ -54,6 +54,8 @@ def line_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     parts = marked.groupBy("h1", "h2", "salt").agg(F.sum("opens").alias("docs"), F.max("id").alias("last"))
     repeated = (parts.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
                 .where(F.col("docs") >= min_docs).select("h1", "h2", "last"))
+    # as a table of its own, so that the join back can split a frequent key's rows
+    repeated = staged(repeated, "repeated")
     lost = (rows.join(repeated, ["h1", "h2"]).where(~F.col("id").eqNullSafe(F.col("last")))
             .select("id", "th", (F.col("pos") / 64).cast("int").alias("word"),
                     F.expr("shiftleft(1L, pos % 64)").alias("bit")))
