@@ -68,26 +68,46 @@ def _mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _WordHash(dict):
-    """lower-cased word -> 64-bit hash; bounded."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) >= 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_HASHES = _WordHash()
+# one random 64-bit number per byte, 0 for the six white characters
+_BYTES = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64)
+_BYTES[list(b" \t\n\x0b\x0c\r")] = 0
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BLOCK = 1 << 20
+
+
+def _blocks(data: bytes) -> Iterator[bytes]:
+    """The text in blocks of about a megabyte, cut at blanks (a longer word stays whole)."""
+    start = 0
+    while len(data) - start > _BLOCK:
+        end = data.find(b" ", start + _BLOCK)
+        if end < 0:
+            break
+        yield data[start:end]
+        start = end
+    yield data[start:]
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text, in order: polynomials of their bytes, mixed."""
+    values = _BYTES[np.frombuffer(data, np.uint8)]
+    inside = values != 0
+    starts = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    values, inside, starts = values[starts[0] :], inside[starts[0] :], starts - starts[0]
+    room = np.diff(np.append(starts, len(values)))
+    power = np.cumprod(np.full(int(room.max()), _BASE))
+    place = np.arange(len(values)) - np.repeat(starts, room)
+    length = np.add.reduceat(inside, starts, dtype=np.uint64)
+    return _mix64(np.add.reduceat(values * power[place], starts) + length)
 
 
 def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
-    found = (text or "").encode().lower().split()  # of bytes: A-Z and the six white characters only
-    if not found:
-        return np.empty(0, np.uint64)
-    h = np.array([_HASHES[w] for w in found], np.uint64)
+    data = (text or "").encode().lower()  # of bytes: A-Z only
+    h = np.concatenate([word_hashes(b) for b in _blocks(data)])
+    if not len(h):
+        return h
     width = min(words, len(h))
     out = np.full(len(h) - width + 1, width, np.uint64)
     for k in range(width):

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbscope.llm.common import quoted, without
-from verbscope.llm.wordpieces import Chunks, Memo, byte_letters, default_tokenizer, split_specials
+from verbscope.llm.wordpieces import Memo, byte_letters, default_tokenizer, split_specials, split_words
 
 
 @functools.lru_cache(maxsize=4)
@@ -75,20 +75,15 @@ def count_memo(path: str) -> Memo:
     return Memo(fill)
 
 
-@functools.lru_cache(maxsize=4)
-def count_chunks(path: str) -> Chunks:
-    return Chunks(count_memo(path), path, sum)
-
-
 def count_text(text: str | None, path: str) -> int:
     if not text:
         return 0
-    chunks, total = count_chunks(path), 0
+    memo, total = count_memo(path), 0
     for k, part in enumerate(split_specials(text, path)):
         if k % 2:
             total += 1
         elif part:
-            total += sum(chunks.values_of(part))
+            total += sum(memo.values_of(split_words(part, path)))
     return total
 
 

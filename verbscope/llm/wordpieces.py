@@ -11,7 +11,7 @@ from __future__ import annotations
 import functools
 import json
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
 import numpy as np
 
@@ -67,19 +67,26 @@ def split_specials(text: str, path: str) -> list[str]:
 
 
 class Memo(dict):
-    """word -> value, filled by ``fill(words)``; emptied when it holds too many words."""
+    """word -> value, filled by ``fill(words)``. Bounded: when full, its words become the old
+    generation and the former old ones are forgotten; words still in use come back from there."""
 
     def __init__(self, fill: Callable[[list[str]], Iterable], limit: int = MEMO_WORDS):
-        self.fill, self.limit = fill, limit
+        self.fill, self.limit, self.old = fill, limit, {}
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Make sure that all ``words`` are present."""
+    def values_of(self, words: list[str]) -> list:
+        try:
+            return [self[w] for w in words]
+        except KeyError:
+            pass
         new = [w for w in set(words) if w not in self]
         if len(self) + len(new) > self.limit:
+            self.old = dict(self)
             self.clear()
             new = list(set(words))
-        if new:
-            self.update(zip(new, self.fill(new), strict=True))
+        unknown = [w for w in new if w not in self.old]
+        self.update((w, self.old[w]) for w in new if w in self.old)
+        self.update(zip(unknown, self.fill(unknown), strict=True))
+        return [self[w] for w in words]
 
 
 @functools.lru_cache(maxsize=4)
@@ -94,64 +101,18 @@ def id_memo(path: str) -> Memo:
     return Memo(fill)
 
 
-class Chunks(dict):
-    """chunk -> value of the chunk after a blank, made from the values of its pre-tokens.
-
-    Where no blanks follow each other, every blank opens a new pre-token, so a text splits at
-    its blanks into chunks with values of their own. Splitting at blanks is much cheaper than
-    matching pre-tokens, and most chunks are known already. Emptied when it holds too many.
-    """
-
-    def __init__(self, memo: Memo, path: str, join: Callable[[list], object], limit: int = MEMO_WORDS):
-        self.memo, self.path, self.join, self.limit = memo, path, join, limit
-
-    def of(self, text: str):
-        """Value of a text without special tokens."""
-        words = split_words(text, self.path)
-        self.memo.learn(words)
-        return self.join([self.memo[w] for w in words])
-
-    def __missing__(self, chunk: str):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[chunk] = self.of(" " + chunk)
-        return value
-
-    def values_of(self, text: str) -> list:
-        """Values whose sum or concatenation is the text's."""
-        if "  " in text:
-            return [self.of(text)]
-        first, *rest = text.split(" ")
-        new = {c for c in rest if c not in self}
-        if new:  # learn all unknown pre-tokens in one call
-            if len(self) + len(new) > self.limit:
-                self.clear()
-            self.memo.learn([w for c in new for w in split_words(" " + c, self.path)])
-        return [self.of(first), *map(self.__getitem__, rest)]
-
-
-@functools.lru_cache(maxsize=4)
-def id_chunks(path: str) -> Chunks:
-    return Chunks(id_memo(path), path, b"".join)
-
-
 def encode(text: str, path: str, specials: bool = True) -> bytes:
     """A text's ids as little-endian unsigned 32-bit bytes. ``specials``: special tokens'
     strings in the text become their ids (the library's default), else ordinary text."""
-    chunks, out = id_chunks(path), []
+    memo, out = id_memo(path), []
     for k, part in enumerate(split_specials(text, path) if specials else [text]):
         if k % 2:
             out.append(special_tokens(path)[part].to_bytes(4, "little"))
         elif part:
-            out.extend(chunks.values_of(part))
+            out.extend(memo.values_of(split_words(part, path)))
     return b"".join(out)
 
 
-def encode_all(texts: Iterable[str | None], path: str, specials: bool = True) -> Iterator[bytes]:
-    for t in texts:
-        yield encode(t, path, specials) if t else b""
-
-
 @functools.lru_cache(maxsize=4)
 def byte_letters() -> dict[int, str]:
     """byte -> the letter that stands for it in byte-level vocabularies: itself where it
