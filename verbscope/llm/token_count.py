@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbscope.llm.common import quoted, without
-from verbscope.llm.wordpieces import Memo, byte_letters, default_tokenizer, split_specials, split_words
+from verbscope.llm.wordpieces import Memo, as_letters, default_tokenizer, split_specials, split_words
 
 
 @functools.lru_cache(maxsize=4)
@@ -65,14 +65,8 @@ def count_symbols(word: str, ranks: dict[tuple[str, str], int]) -> int:
 
 @functools.lru_cache(maxsize=4)
 def count_memo(path: str) -> Memo:
-    ranks, letters = merge_ranks(path), byte_letters()
-    table = str.maketrans(letters)
-
-    def fill(words: list[str]):
-        for w in words:
-            yield count_symbols(w.encode().decode("latin-1").translate(table), ranks)
-
-    return Memo(fill)
+    ranks = merge_ranks(path)
+    return Memo(lambda w: count_symbols(as_letters(w), ranks))
 
 
 def count_text(text: str | None, path: str) -> int:
@@ -83,7 +77,7 @@ def count_text(text: str | None, path: str) -> int:
         if k % 2:
             total += 1
         elif part:
-            total += sum(memo.values_of(split_words(part, path)))
+            total += sum(map(memo.__getitem__, split_words(part, path)))
     return total
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import functools
 import json
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import numpy as np
 
@@ -67,38 +67,42 @@ def split_specials(text: str, path: str) -> list[str]:
 
 
 class Memo(dict):
-    """word -> value, filled by ``fill(words)``. Bounded: when full, its words become the old
-    generation and the former old ones are forgotten; words still in use come back from there."""
-
-    def __init__(self, fill: Callable[[list[str]], Iterable], limit: int = MEMO_WORDS):
-        self.fill, self.limit, self.old = fill, limit, {}
-
-    def values_of(self, words: list[str]) -> list:
-        try:
-            return [self[w] for w in words]
-        except KeyError:
-            pass
-        new = [w for w in set(words) if w not in self]
-        if len(self) + len(new) > self.limit:
+    """word -> value, made by ``make(word)`` when missing. Bounded: when full, its words become
+    the old generation and the former old ones are forgotten; words still in use come back."""
+
+    def __init__(self, make: Callable[[str], object], limit: int = MEMO_WORDS):
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, word: str):
+        value = self.old.get(word)
+        if value is None:
+            value = self.make(word)
+        if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
-            new = list(set(words))
-        unknown = [w for w in new if w not in self.old]
-        self.update((w, self.old[w]) for w in new if w in self.old)
-        self.update(zip(unknown, self.fill(unknown), strict=True))
-        return [self[w] for w in words]
+        self[word] = value
+        return value
 
 
 @functools.lru_cache(maxsize=4)
-def id_memo(path: str) -> Memo:
-    """word -> its ids as little-endian unsigned 32-bit bytes, by the library."""
-    tok = tokenizer(path)
+def byte_letters() -> dict[int, str]:
+    """byte -> the letter that stands for it in byte-level vocabularies: itself where it
+    prints, the next letter from U+0100 on otherwise (a rule, not a table)."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(prints)]
+    return {b: chr(b) for b in prints} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
+def as_letters(word: str) -> str:
+    """The word's UTF-8 bytes in the vocabulary's letters."""
+    return word.encode().decode("latin-1").translate(byte_letters())
 
-    def fill(words: list[str]):
-        for e in tok.encode_batch_fast(words, add_special_tokens=False):
-            yield np.asarray(e.ids, dtype="<u4").tobytes()
 
-    return Memo(fill)
+@functools.lru_cache(maxsize=4)
+def id_memo(path: str) -> Memo:
+    """word -> its ids as little-endian unsigned 32-bit bytes, by the library's model."""
+    merge = tokenizer(path).model.tokenize
+    return Memo(lambda w: np.array([t.id for t in merge(as_letters(w))], "<u4").tobytes())
 
 
 def encode(text: str, path: str, specials: bool = True) -> bytes:
@@ -109,19 +113,10 @@ def encode(text: str, path: str, specials: bool = True) -> bytes:
         if k % 2:
             out.append(special_tokens(path)[part].to_bytes(4, "little"))
         elif part:
-            out.extend(memo.values_of(split_words(part, path)))
+            out.extend(map(memo.__getitem__, split_words(part, path)))
     return b"".join(out)
 
 
-@functools.lru_cache(maxsize=4)
-def byte_letters() -> dict[int, str]:
-    """byte -> the letter that stands for it in byte-level vocabularies: itself where it
-    prints, the next letter from U+0100 on otherwise (a rule, not a table)."""
-    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in set(prints)]
-    return {b: chr(b) for b in prints} | {b: chr(0x100 + k) for k, b in enumerate(others)}
-
-
 @functools.lru_cache(maxsize=4)
 def id_bytes(path: str) -> list[bytes]:
     """id -> bytes of the token, for decoding."""
