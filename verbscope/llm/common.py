@@ -43,6 +43,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_texts(spark: SparkSession, rows: int = 1000) -> None:
+    """Keep Arrow batches small: a batch holds whole texts, and the default of 10,000 rows may
+    be hundreds of megabytes in an executor's Python workers and its own buffers."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns whose names equal one of ``names`` in any letter case, so that an
     operator's own output columns never clash with extra input columns."""

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbscope.llm.chat import format_chat, read_back
+from verbscope.llm.common import staged, whole_texts
 from verbscope.llm.exact_dup import normalised, with_duplicates
 from verbscope.llm.line_dedup import drop_lines
 from verbscope.llm.mixing import plan_copies, word_count
-from verbscope.llm.common import staged
 from verbscope.llm.near_dup import NearDup, with_components
 from verbscope.llm.packing import pack
 from verbscope.llm.quality_bands import with_quality
@@ -28,6 +28,7 @@ RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole_texts(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
