@@ -66,3 +66,26 @@ def test_row_index_partition_invariant(spark):
 def test_row_index_empty(spark):
     e = spark.createDataFrame([], "k long")
     assert SQ.with_row_index(e, "k").count() == 0
+
+
+def test_row_index_wide_and_large(spark, tmp_path):
+    """Rows with payload, more than one sampled bound, AQE on, without coalescing, and off."""
+    from verbscope.sources import sinks as SK
+    n = 300_000
+    df = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled",
+                                          "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        for aqe, coalesce in (("true", "true"), ("true", "false"), ("false", "false")):
+            spark.conf.set("spark.sql.adaptive.enabled", aqe)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+            out = SQ.with_row_index(df, "k", name="idx")
+            assert out.agg(F.count("*"), F.countDistinct("idx"), F.sum((F.col("idx") != F.col("k")).cast("int"))).first()[:] == (n, n, 0)
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    path = str(tmp_path / "batched")
+    SK.write_batched(df, path, "k", batch_size=10_000)
+    back = spark.read.parquet(path)
+    assert back.count() == n and back.select("batch").distinct().count() == 30

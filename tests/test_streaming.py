@@ -62,7 +62,7 @@ def test_registry_sink_two_batches(spark, tmp_path):
     schema = "tweet_id string, text string"
     spark.createDataFrame([("1", "a"), ("2", "b")], schema).write.parquet(str(src / "f1"))
     stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(str(src))
-    q = (stream.writeStream.foreachBatch(ST.registry_sink("tweet_id", reg_root, out))
+    q = (stream.writeStream.foreachBatch(ST.registry_sink("tweet_id", reg_root, out, run="a"))
          .option("checkpointLocation", str(tmp_path / "ck3")).start())
     q.processAllAvailable()
     spark.createDataFrame([("2", "b again"), ("3", "c")], schema).write.parquet(str(src / "f2"))
@@ -70,7 +70,37 @@ def test_registry_sink_two_batches(spark, tmp_path):
     q.stop()
     kept = rows(spark.read.parquet(out), "tweet_id")
     assert kept == [("1",), ("2",), ("3",)]
-    assert rows(spark.read.parquet(ST.registry_version_path(reg_root, 1))) == [("1",), ("2",), ("3",)]
+    assert rows(ST.read_registry(spark, reg_root)) == [("1",), ("2",), ("3",)]
+
+
+def test_registry_sink_starts_from_existing_registry(spark, tmp_path):
+    """A registry of 11 ids, 13 rows with 10 ids of which 2 are registered: 11 rows kept, 19 ids after.
+    A second run with a new checkpoint loses nothing and keeps nothing."""
+    src, root, out = str(tmp_path / "tw2"), str(tmp_path / "reg2"), str(tmp_path / "kept2")
+    ids = [1, 2, 3, 3, 4, 5, 6, 7, 8, 8, 9, 9, 10]
+    spark.createDataFrame([(str(i), f"t{k}") for k, i in enumerate(ids)], "tweet_id string, text string").write.parquet(src)
+    known = [("1",), ("2",)] + [(str(i),) for i in range(101, 110)]
+    ST.commit_registry(spark.createDataFrame(known, "id string"), root, 0)
+    for run, kept in (("a", 11), ("b", 0)):
+        stream = spark.readStream.schema("tweet_id string, text string").parquet(src)
+        (stream.writeStream.foreachBatch(ST.registry_sink("tweet_id", root, out, run=run))
+         .option("checkpointLocation", str(tmp_path / f"ckr-{run}")).trigger(availableNow=True).start().awaitTermination())
+        assert spark.read.parquet(f"{out}/run={run}").count() == kept
+        assert ST.read_registry(spark, root).count() == 19
+
+
+def test_stream_page_batches_in_small_chunks(spark, tmp_path):
+    data = [("a", p, n) for p, n in enumerate([95, 98, None, 99, 97, 50, 60, 70, 80], start=1)][::-1]
+    src = str(tmp_path / "pages3")
+    spark.createDataFrame(data, PAGE_SCHEMA).write.parquet(src)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        stream = spark.readStream.schema(PAGE_SCHEMA).parquet(src)
+        _drain(ST.stream_page_batches(stream, "topic", "page", "n", 200), "pb3", tmp_path)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = rows(spark.sql("SELECT * FROM pb3"), "topic", "page", "batch")
+    assert got == rows(SQ.page_batches(spark.createDataFrame(data, PAGE_SCHEMA), "topic", "page", "n", 200), "topic", "page", "batch")
 
 
 def test_skip_processed(spark):

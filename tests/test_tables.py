@@ -191,3 +191,5 @@ def test_sampling_stable_and_exact(spark):
     assert [r["id"] for r in SA.head(df, 3, "id").collect()] == [0, 1, 2]
     assert [r["id"] for r in SA.tail(df, 2, "id").collect()] == [999, 998]
     assert SA.row_at(df, 100, "id").first()["id"] == 100
+    assert SA.row_at(df, 10 ** 6, "id").count() == 0
+    assert SA.sample_fraction(spark.range(200_000), 0.00004, "id", seed=5).count() > 0

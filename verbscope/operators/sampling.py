@@ -33,22 +33,22 @@ def top_k(df: DataFrame, k: int, order, descending=True) -> DataFrame:
 
 
 def row_at(df: DataFrame, position: int, order) -> DataFrame:
-    """Row at 0-based ``position`` in ``order``: top ``position + 1``, then its last."""
+    """Row at 0-based ``position`` in ``order``; no row past the end."""
     cols = [order] if isinstance(order, str) else list(order)
-    top = head(df, position + 1, cols)
-    return head(top, 1, cols, descending=True) if position >= 0 else top.limit(0)
+    return df.orderBy(*_order(cols, False)).offset(position).limit(1) if position >= 0 else df.limit(0)
 
 
 def _hash_key(key, seed: int):
+    """First 52 bits of an MD5 of the key columns and the seed."""
     cols = [key] if isinstance(key, str) else list(key)
-    return F.xxhash64(*[F.col(c) for c in cols], F.lit(seed))
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
 
 
 def sample_fraction(df: DataFrame, fraction: float, key, seed: int = 1) -> DataFrame:
     """Seeded fraction chosen by a hash of the key -- the same rows whatever the
     partitioning or the number of executors (``df.sample`` is not stable that way)."""
-    cut = int(round(fraction * 10000))
-    return df.where(F.pmod(_hash_key(key, seed), F.lit(10000)) < F.lit(cut))
+    return df.where(_hash_key(key, seed) < F.lit(fraction * 2.0 ** 52))
 
 
 def sample_n(df: DataFrame, n: int, key, seed: int = 1) -> DataFrame:

@@ -1,8 +1,8 @@
 """F5-F7 sequence operators: row index, near-equal batches, greedy page batches.
 
 None of these use a window without ``partitionBy`` (that would move every row to
-one task). The row index sorts by range (many tasks), counts rows per partition
-(one small row per partition), and adds the running offset of the partitions before.
+one task). The row index partitions by range into a table in the shared folder, counts
+rows per written partition, and adds the running offset of the partitions before.
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_PID_SHIFT = 33  # monotonically_increasing_id puts the partition id above bit 33
-
+from ..session import write_and_reread
 
 def _indexed(df: DataFrame, order, name: str):
     """Range-sort by ``order`` and add a 0-based global index ``name`` and ``_n_total``.
@@ -23,18 +22,23 @@ def _indexed(df: DataFrame, order, name: str):
     task after an executor loss sorts the same way.
     """
     order = [order] if isinstance(order, str) else list(order)
-    ordered = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
-    tagged = (ordered.withColumn("_pid", F.spark_partition_id())
-              .withColumn("_local", F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("long"), _PID_SHIFT)))
-    # one row per partition; the window below runs over partition counts only
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    # one range exchange, written with its partition numbers: counting and numbering then see
+    # the same partitions, whatever bounds are sampled and however partitions are coalesced
+    parts = write_and_reread(
+        df.repartitionByRange(*[quoted(c) for c in order]).withColumn("_pid", F.spark_partition_id()), "row-index")
+    counts = parts.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
                .withColumn("_n_total", F.sum("_cnt").over(Window.partitionBy(F.lit(0))))
                .select("_pid", "_off", "_n_total"))
-    out = tagged.join(F.broadcast(offsets), "_pid")
-    return out.withColumn(name, (F.col("_off") + F.col("_local")).cast("long")).drop("_pid", "_local", "_off")
+    local = F.row_number().over(Window.partitionBy("_pid").orderBy(*[quoted(c) for c in order]))
+    out = parts.withColumn("_local", local).join(offsets, "_pid")
+    return out.withColumn(name, (F.col("_off") + F.col("_local") - 1).cast("long")).drop("_pid", "_local", "_off")
+
+
+def quoted(name: str):
+    """Column by its exact name."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def with_row_index(df: DataFrame, order, name: str = "row_index", start: int = 0) -> DataFrame:

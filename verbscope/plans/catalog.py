@@ -126,6 +126,11 @@ def batches(spark, sf):
     return b.groupBy("batch").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def assign_ids_wide(spark, sf):
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return SQ.with_row_index(_t(spark, sf, "lineitem"), key, name="id", start=1)
+
+
 ALL_TERMS = (TX.word_pattern(["the"]), TX.word_pattern(["and"]), "ing")
 
 
@@ -435,6 +440,7 @@ QUERIES = {
     "keyword_from_path": keyword_from_path,
     "select_rename_combine": select_rename_combine,
     "assign_ids": assign_ids,
+    "assign_ids_wide": assign_ids_wide,
     "batches": batches,
     "all_terms": all_terms,
     "verb_then_que": verb_then_que,

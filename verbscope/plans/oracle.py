@@ -138,6 +138,16 @@ SELECT c_custkey AS user_id, c_name AS username, c_nationkey AS place_id,
 
     "assign_ids": "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 + 1000 AS id FROM documents",
 
+    "assign_ids_wide": """
+SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id FROM lineitem""",
+
+    "sample_fraction": """
+SELECT doc_id FROM documents
+WHERE ('0x' || substr(md5(doc_id || '|7'), 1, 13))::BIGINT < 0.1::DOUBLE * 4503599627370496::DOUBLE""",
+
+    "sample_n": """
+SELECT doc_id FROM documents ORDER BY ('0x' || substr(md5(doc_id || '|7'), 1, 13))::BIGINT, doc_id LIMIT 25""",
+
     "batches": """
 WITH x AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS idx, count(*) OVER () AS n FROM documents),
 y AS (SELECT idx, n, CAST(ceil(n / 64.0) AS BIGINT) AS k FROM x),

@@ -8,8 +8,8 @@ in here when they are unset, as in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,35 +41,25 @@ def get_spark(master: str | None = None, app: str = "verbscope",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the folder is set by the cluster (a shared file system path) and is
-    used as is. Only when it is unset -- local tests -- a fresh scratch folder is made.
-    """
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the cluster names it in
+    ``spark.checkpoint.dir``. Only a local session may leave it unset (tests)."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="verbscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return configured
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if named:
+        return named
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="verbscope-ckpt-"))
+    return sc.getCheckpointDir()
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+def write_and_reread(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: the rows, and values that depend on
+    how they were partitioned, are fixed from then on."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

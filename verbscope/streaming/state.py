@@ -39,28 +39,49 @@ def registry_version_path(root: str, version: int) -> str:
 
 
 def commit_registry(registry: DataFrame, root: str, version: int) -> str:
-    """Write registry version ``version`` atomically-by-directory; readers use the
-    newest complete version (Spark writes ``_SUCCESS`` last)."""
+    """Write ids as part ``version`` of the registry at ``root``; it counts from when Spark
+    has written its ``_SUCCESS``."""
     path = registry_version_path(root, version)
     registry.write.mode("overwrite").parquet(path)
     return path
 
 
-def registry_sink(id_col: str, registry_root: str, out_path: str):
-    """K1 streaming form: a ``foreachBatch`` function. Each micro-batch drops
-    registered ids, appends the kept rows, and writes registry version ``batch_id``.
-    Re-running a batch id rewrites the same version, so a retried batch is idempotent."""
+def registry_parts(spark, root: str) -> list[str]:
+    """Complete parts of the registry at ``root``: folders that hold ``_SUCCESS``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().getParent().toString() for f in found or [])
+
+
+def read_registry(spark, root: str, leave_out: str | None = None) -> DataFrame:
+    """All registered ids: the union of the complete parts (``leave_out``: a part's folder name)."""
+    parts = [p for p in registry_parts(spark, root) if p.rsplit("/", 1)[-1] != leave_out]
+    if not parts:
+        return spark.createDataFrame([], "id string")
+    return spark.read.schema("id string").parquet(*parts).distinct()
+
+
+def registry_sink(id_col: str, registry_root: str, out_path: str, run: str, registry: DataFrame | None = None):
+    """K1 streaming form: a ``foreachBatch`` function. Each micro-batch drops registered ids,
+    writes the kept rows, and adds its new ids as a part of the registry.
+
+    Registered are the complete parts at ``registry_root`` and the ids of ``registry``, if
+    given. ``run`` names this query's parts: keep it with the query's checkpoint and choose a new
+    one for a new checkpoint. A retried batch leaves its own part out and rewrites it, and no
+    part of another run is ever touched. Parts hold new ids only, so a batch writes no more
+    than it brings."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = None
-        if batch_id > 0:
-            prev = spark.read.parquet(registry_version_path(registry_root, batch_id - 1))
-        if prev is None:
-            prev = spark.createDataFrame([], "id string")
-        kept, reg = update_registry(batch, id_col, prev)
-        # stage the kept rows per batch id: a retried batch overwrites its own folder
-        kept.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        commit_registry(reg, registry_root, batch_id)
+        part = f"run={run}-{batch_id:06d}"
+        known = read_registry(spark, registry_root, leave_out=part)
+        if registry is not None:
+            known = id_union(known, registry.select(F.col(registry.columns[0]).cast("string").alias("id")))
+        kept, _ = update_registry(batch, id_col, known)
+        # per run and batch: a retried batch overwrites its own folder
+        kept.write.mode("overwrite").parquet(f"{out_path}/run={run}/batch_id={batch_id}")
+        new = spark.read.schema(kept.schema).parquet(f"{out_path}/run={run}/batch_id={batch_id}")
+        (new.select(F.col(id_col).cast("string").alias("id")).where("id is not null").distinct()
+         .write.mode("overwrite").parquet(f"{registry_root}/{part}"))
     return fn
 
 
@@ -101,17 +122,17 @@ def stream_page_batches(pages: DataFrame, topic: str, page: str, rows: str, batc
         else:
             batch, fill = 1, 0
         out_t, out_p, out_b = [], [], []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(page)
-            for pg, n in zip(pdf[page].to_numpy(), pdf[rows].to_numpy()):
-                if num_batches is None or batch <= num_batches:
-                    out_t.append(key[0])
-                    out_p.append(int(pg))
-                    out_b.append(batch)
-                fill += int(n)
-                if fill >= b:
-                    batch += 1
-                    fill = 0
+        # Arrow cuts a topic's pages of a micro-batch into chunks anywhere: gather, then sort once
+        own = pd.concat([pdf[[page, rows]] for pdf in pdfs]).sort_values(page, kind="stable")
+        for pg, n in zip(own[page].to_numpy(), own[rows].fillna(0).to_numpy()):
+            if num_batches is None or batch <= num_batches:
+                out_t.append(key[0])
+                out_p.append(int(pg))
+                out_b.append(batch)
+            fill += int(n)  # a null row count is 0, as in F7
+            if fill >= b:
+                batch += 1
+                fill = 0
         state.update((batch, fill))
         yield pd.DataFrame({topic: out_t, page: np.array(out_p, dtype=np.int64),
                             "batch": np.array(out_b, dtype=np.int64)})
