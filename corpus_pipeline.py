@@ -2,14 +2,15 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a
 DataFrame. A stage works on all rows its predecessor kept, and its decisions take effect:
-all but the last return the columns of ``documents``; the last returns packed pieces.
+all but the last return the columns of ``documents``; the last returns packed pieces. Each stage's
+result is to be written before the next stage begins, as ``run`` does.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verbscope.llm.common import staged, whole_texts
+from verbscope.llm.common import release, staged, whole_texts
 from verbscope.llm.exact_dup import drop_duplicates
 from verbscope.llm.mixing import mix
 from verbscope.llm.near_dup import NearDup, drop_near_duplicates
@@ -17,33 +18,40 @@ from verbscope.llm.packing import pack
 from verbscope.llm.quality_bands import with_quality
 
 
+def begin(spark: SparkSession, docs: DataFrame) -> None:
+    """Arrow batches fit for whole texts; the tables behind the stages before, whose results are
+    written by now, are given back."""
+    whole_texts(spark)
+    release(docs)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Compression bands and base rules; rejected documents go."""
-    whole_texts(spark)
+    begin(spark, docs)
     return with_quality(docs).where("kept").select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
-    whole_texts(spark)
+    begin(spark, docs)
     return drop_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles, similarity 0.8: the smallest doc_id of each group stays."""
-    whole_texts(spark)
+    begin(spark, docs)
     return drop_near_duplicates(docs, p=NearDup(words=5, percent=80))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources by weights 5, 2, 1; a document comes out as often as the mix takes it."""
-    whole_texts(spark)
+    begin(spark, docs)
     return mix(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens, packed into sequences."""
-    whole_texts(spark)
+    begin(spark, docs)
     return pack(docs, max_tokens=2048)
 
 
