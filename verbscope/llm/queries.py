@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,17 +55,12 @@ def op5_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where every sequence lies, and the checksum of what a reader finds there (without padding)."""
+    """Where every sequence lies, and the checksum of the record that a reader finds there
+    (ids as 32-bit numbers, padding included)."""
     folder, placement, _ = materialise(documents(spark, sf_dir), seq_len=512, per_shard=8192)
-
-    @F.arrow_udf("long")
-    def crc(ids: pa.Array, length: pa.Array) -> pa.Array:
-        import zlib
-        return pa.array([zlib.crc32(i.as_py()[: 4 * n.as_py()]) for i, n in zip(ids, length, strict=True)], pa.int64())
-
-    read = read_shards(spark, folder, seq_len=512, per_shard=8192)
-    sums = read.join(placement, "slot").withColumn("ids_crc32", crc("ids", "length"))
-    return sums.select("doc_id", "piece", "length", "slot", "shard", "ids_crc32")
+    found = read_shards(spark, folder, seq_len=512, per_shard=8192)
+    return placement.join(found.select("slot", "shard", F.crc32("ids").alias("record_crc32")), "slot").select(
+        "doc_id", "piece", "length", "slot", "shard", "record_crc32")
 
 
 def op7_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
