@@ -24,7 +24,7 @@ _SPLIT = re.compile(f" ?[{_L}]+| ?[{_N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_S}{_L}{_N}
 #: Texts of these characters only are split by the pattern above; others by the library.
 _PLAIN = re.compile("[\x00-ɏ‐-‧€]*")
 
-MEMO_WORDS = 500_000
+MEMO_WORDS = 600_000
 
 
 def default_tokenizer() -> str:
@@ -105,27 +105,6 @@ def id_memo(path: str) -> Memo:
     return Memo(lambda w: np.array([t.id for t in merge(as_letters(w))], "<u4").tobytes())
 
 
-@functools.lru_cache(maxsize=4)
-def ranked(path: str):
-    """The vocabulary as ranks, for the faster library, or None where it can't be: merging by
-    rank is merging by the merge list exactly if ids stand in merge order, which is checked."""
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
-    vocab, letters = model["vocab"], {c: b for b, c in byte_letters().items()}
-    made = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
-    singles = {vocab.get(c) for c in letters}
-    if None in made or None in singles or made != sorted(set(made)) or max(singles) > made[0] or len(vocab) != len(made) + 256:
-        return None
-    import tiktoken
-    pattern = f" ?[{_L}]+| ?[{_N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
-    return tiktoken.Encoding("ranked", pat_str=pattern, special_tokens={}, mergeable_ranks={
-        bytes(letters[c] for c in token): k for token, k in vocab.items()})
-
-
-#: A run without white space that long goes to the library, whose merging stays near linear.
-_LONG = re.compile(f"[^{_S}]{{2000}}")
-
-
 def encode(text: str, path: str, specials: bool = True) -> bytes:
     """A text's ids as little-endian unsigned 32-bit bytes. ``specials``: special tokens'
     strings in the text become their ids (the library's default), else ordinary text."""
@@ -133,8 +112,6 @@ def encode(text: str, path: str, specials: bool = True) -> bytes:
     for k, part in enumerate(split_specials(text, path) if specials else [text]):
         if k % 2:
             out.append(special_tokens(path)[part].to_bytes(4, "little"))
-        elif part and (fast := ranked(path)) and _PLAIN.fullmatch(part) and not _LONG.search(part):
-            out.append(fast.encode_to_numpy(part, disallowed_special=()).astype("<u4").tobytes())
         elif part:
             out.extend(map(id_memo(path).__getitem__, split_words(part, path)))
     return b"".join(out)
