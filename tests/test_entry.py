@@ -34,7 +34,8 @@ def _sorted_rows(cols, records):
 
 @pytest.mark.parametrize("name", ["que_rate_by_lang", "verb_distance", "verb_runs", "page_batches",
                                   "merge_pull", "query_match", "mark_heads",
-                                  "sample_fraction", "sample_n"])
+                                  "sample_fraction", "sample_n", "filter_known_verbs", "anti_join_tables",
+                                  "containment_join", "distance_table", "merge_tables_first", "page_batches_all"])
 def test_matches_oracle_small(spark, name):
     con = duckdb.connect()
     for t in TABLES:

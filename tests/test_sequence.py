@@ -89,3 +89,12 @@ def test_row_index_wide_and_large(spark, tmp_path):
     SK.write_batched(df, path, "k", batch_size=10_000)
     back = spark.read.parquet(path)
     assert back.count() == n and back.select("batch").distinct().count() == 30
+
+
+def test_page_batches_keep_null_topics_and_pages(spark):
+    rows = [(None, 2, 3), (None, 1, 3), (None, None, 1), ("null", 1, 9), ("a", 1, None), ("a", 2, 5), ("", 1, 1)]
+    df = spark.createDataFrame(rows, "`my topic` string, page long, n long")
+    for chunk in (1, 100):
+        out = SQ.page_batches(df, "my topic", "page", "n", batch_size=5, chunk_pages=chunk).collect()
+        assert {tuple(r) for r in out} == {(None, 1, 3, 1), (None, 2, 3, 1), (None, None, 1, 2), ("null", 1, 9, 1),
+                                           ("a", 1, 0, 1), ("a", 2, 5, 1), ("", 1, 1, 1)}

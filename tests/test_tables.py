@@ -193,3 +193,11 @@ def test_sampling_stable_and_exact(spark):
     assert SA.row_at(df, 100, "id").first()["id"] == 100
     assert SA.row_at(df, 10 ** 6, "id").count() == 0
     assert SA.sample_fraction(spark.range(200_000), 0.00004, "id", seed=5).count() > 0
+
+
+def test_append_pages_keeps_every_table(spark):
+    from verbscope.operators.setops import append_pages
+    one = {"tweets": spark.range(2), "errors": spark.range(1)}
+    two = {"tweets": spark.range(3), "media": spark.range(4)}
+    assert {k: v.count() for k, v in append_pages([one, two]).items()} == {"tweets": 5, "errors": 1, "media": 4}
+    assert set(append_pages([one, two], tables=("tweets", "meta"))) == {"tweets"}

@@ -75,6 +75,8 @@ def with_batch_id(df: DataFrame, order, batch_size: int | None = None, n_batches
 # Pages per chunk of a topic. A topic's pages are folded chunk by chunk, so no task
 # ever holds more than this many pages of one topic.
 PAGES_PER_CHUNK = 100_000
+# Stands for a null page number inside the folds.
+NULL_PAGE = 2 ** 63 - 1
 
 
 def _fold_state(n_rows, batch_size: int, start: int):
@@ -142,10 +144,13 @@ def page_batches(pages: DataFrame, topic: str, page: str, rows: str, batch_size:
     partitions, folding groups one after another (no per-group Python call).
     """
     b = int(batch_size)
-    p = pages.select(F.col(topic).alias("topic"), F.col(page).cast("long").alias("page"),
-                     F.coalesce(F.col(rows).cast("long"), F.lit(0)).alias("n"))
+    # a null topic is a topic like any other, a null page comes last; the folds see neither null
+    t = quoted(topic)
+    p = pages.select(F.when(t.isNull(), "null").otherwise(F.concat(F.lit("="), t.cast("string"))).alias("topic"),
+                     F.coalesce(quoted(page).cast("long"), F.lit(NULL_PAGE)).alias("page"),
+                     F.coalesce(quoted(rows).cast("long"), F.lit(0)).alias("n"))
     p = p.withColumn("chunk", F.floor(F.col("page") / F.lit(chunk_pages)).cast("long"))
-    tt = pages.schema[topic].dataType.simpleString()
+    tt = "string"
 
     # 1. chunk summaries
     first_chunk = p.groupBy("topic").agg(F.min("chunk").alias("chunk")).withColumn("first", F.lit(True))
@@ -196,6 +201,9 @@ def page_batches(pages: DataFrame, topic: str, page: str, rows: str, batch_size:
                 else:
                     cl += int(row.closes[st])
                     st = int(row.ends[st])
+            if len(out) >= 1024:
+                yield pd.DataFrame(out, columns=["topic", "chunk", "start_state", "start_closed"])
+                out = []
         yield pd.DataFrame(out, columns=["topic", "chunk", "start_state", "start_closed"])
 
     starts = summaries.repartition("topic").sortWithinPartitions("topic", "chunk").mapInPandas(chain, start_schema)
@@ -214,4 +222,5 @@ def page_batches(pages: DataFrame, topic: str, page: str, rows: str, batch_size:
            .sortWithinPartitions("topic", "chunk", "page").mapInPandas(replay, out_schema))
     if num_batches is not None:
         res = res.where(F.col("batch") <= F.lit(num_batches))
-    return res.withColumnRenamed("topic", topic).withColumnRenamed("page", page).withColumnRenamed("n", rows)
+    named = F.when(F.col("topic") != "null", F.substr("topic", F.lit(2))).cast(pages.schema[topic].dataType)
+    return res.select(named.alias(topic), F.nullif("page", F.lit(NULL_PAGE)).alias(page), F.col("n").alias(rows), "batch")

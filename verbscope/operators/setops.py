@@ -16,13 +16,14 @@ def append(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def append_pages(pages: list, tables=("tweets", "users", "places", "meta")) -> dict:
-    """H2: table-wise append of several exploded pages (dicts of frames).
+def append_pages(pages: list, tables=None) -> dict:
+    """H2: table-wise append of several exploded pages (dicts of frames), every table
+    that a page has unless ``tables`` names some.
 
     ``meta`` keeps only the row of the latest page (largest ``page``).
     """
     out = {}
-    for name in tables:
+    for name in tables or dict.fromkeys(n for p in pages for n in p):
         parts = [p[name] for p in pages if name in p]
         if not parts:
             continue

@@ -518,13 +518,14 @@ def mark_heads_text(toks: Column, head_i: Column, ccomp_i: Column, v2_i: Column)
 
 
 def next_verb_distance(nested: DataFrame, id_col: str = "doc_id", with_text: bool = False,
-                       last_per_lemma: bool = False) -> DataFrame:
+                       last_per_lemma: bool = False, carry=()) -> DataFrame:
     """Per ccomp head pair, V2 (first verb-tagged token after the
     head) and the non-PUNCT token counts strictly between head and ccomp, and head
     and V2. A ccomp before its head gives 0; no V2 gives null V2 and distance.
 
     Counts come from the running count ``c`` stored on each token: O(1) per pair.
-    ``with_text`` adds the J15 marked text per pair.
+    ``with_text`` adds the J15 marked text per pair; ``carry`` names columns of ``nested``
+    that come after the pair's own.
     """
     toks = F.col("tokens")
     # computed once per document, then referenced (lambdas would re-evaluate it)
@@ -547,7 +548,7 @@ def next_verb_distance(nested: DataFrame, id_col: str = "doc_id", with_text: boo
     if with_text:
         dist = F.transform(dist, lambda d: d.withField(
             "text_norm", mark_heads_text(toks, d["head_i"], d["ccomp_i"], d["v2_i"])))
-    return nested.select(id_col, F.inline(dist))
+    return nested.select(id_col, F.inline(dist), *carry)
 
 
 def distance_table(nested: DataFrame, id_col: str = "doc_id", text: DataFrame | None = None,
@@ -557,8 +558,8 @@ def distance_table(nested: DataFrame, id_col: str = "doc_id", text: DataFrame |
     ``text`` (``<id>, text_col``) adds the original text, joined on the id."""
     d = nested.select(id_col, "tokens", target_verbs().alias("verbs"), dep_text().alias("dependencies"),
                       detail_text().alias("details"))
-    pairs = next_verb_distance(d.select(id_col, "tokens"), id_col, with_text=True, last_per_lemma=last_per_lemma)
-    out = pairs.join(d.drop("tokens"), id_col)
+    out = next_verb_distance(d, id_col, with_text=True, last_per_lemma=last_per_lemma,
+                             carry=("verbs", "dependencies", "details"))
     if text is not None:
         out = out.join(text.select(id_col, F.col(text_col).alias("text_orig")), id_col, "left")
     return out
