@@ -97,6 +97,16 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return cond
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on equally named columns, null equal to null; the result has them once. The
+    frames may descend from one another."""
+    renamed = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & quoted(k).eqNullSafe(quoted(f"_same_{k}"))
+    return left.join(renamed, cond, how).drop(*[f"_same_{k}" for k in keys])
+
+
 def numbered(df: DataFrame, groups: list[str], order: list[str], out: str,
              rows_per_bucket: int = 200_000) -> DataFrame:
     """Add ``out``: 0, 1, 2, ... within each group, gapless, in an order fixed by the data.

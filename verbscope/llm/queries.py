@@ -12,15 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verbscope.llm.chat import format_chat, read_back
-from verbscope.llm.common import staged, whole_texts
+from verbscope.llm.common import join_same, staged, whole_texts
 from verbscope.llm.exact_dup import normalised, with_duplicates
 from verbscope.llm.line_dedup import drop_lines
 from verbscope.llm.mixing import plan_copies, word_count
 from verbscope.llm.near_dup import NearDup, with_components
 from verbscope.llm.packing import pack
+from verbscope.llm.piece_encoding import decode_pieces, encode_pieces, ids_digest
+from verbscope.llm.prefix_trie import prefix_trie, turn_rows
 from verbscope.llm.quality_bands import with_quality
 from verbscope.llm.shards import materialise, read_shards
 from verbscope.llm.token_count import with_token_count
+from verbscope.llm.turn_order import ordered_sha256
+from verbscope.llm.turn_repair import repair
 from verbscope.llm.url_filter import judge_urls
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -87,9 +91,63 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_duplicates(hashed, keep_text=False)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Faults planted by the CRC of ``conv_id:turn`` modulo 20: 0 drops the row, 1 empties its text, 2 takes its
+    end marks, 3 repeats it, 4 makes its role user; nulls count as one blank."""
+    filled = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    fault = F.pmod(F.crc32(F.concat_ws(":", filled["conv_id"], filled["turn"]).cast("binary")), F.lit(20))
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    rows = turns.select("conv_id", "turn", filled["role"].alias("role"), filled["text"].alias("text"), fault.alias("fault"))
+    rows = rows.where("fault <> 0").select("conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+                                           text.alias("text"), F.when(F.col("fault") == 3, 2).otherwise(1).alias("times"))
+    return rows.select("conv_id", "turn", "role", "text", F.explode(F.sequence(F.lit(1), "times"))).drop("col")
+
+
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    summary, repaired = repair(damaged(turns))
+    said = repaired.select("conv_id", "position", F.concat("role", F.lit(":"), "text").alias("said"))
+    hashes = ordered_sha256(said, "conv_id", "position", "said", "repaired_sha256", "\n")
+    result = join_same(join_same(turns.select("conv_id").distinct(), summary, ["conv_id"], "left"), hashes, ["conv_id"], "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return result.select("conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+                         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def rebuilt(own: DataFrame, most: int = 6) -> DataFrame:
+    """Turns of the rebuilt conversations: the first h (below ``most``, by the id's CRC) turns of the
+    hundred's first conversation, then the own ones after the first h."""
+    head = F.pmod(F.crc32(F.coalesce(F.col("conv").cast("string"), F.lit("")).cast("binary")), F.lit(most))
+    convs = own.select("conv").distinct().select("conv", head.alias("h"), (F.col("conv") - F.col("conv") % 100).alias("base"))
+    lent = own.where(F.col("at") < most - 1).select(F.col("conv").alias("base"), F.col("at").alias("lent_at"),
+                                                    F.col("digest").alias("lent_digest"), F.col("chars").alias("lent_chars"))
+    taken = convs.join(lent, "base").where("lent_at < h").select(
+        "conv", F.col("lent_at").alias("at"), F.col("lent_digest").alias("digest"), F.col("lent_chars").alias("chars"))
+    n_lent = taken.groupBy("conv").agg(F.count("*").alias("n"))
+    kept = join_same(own, n_lent, ["conv"], "left").select(
+        "conv", "at", "digest", "chars", F.coalesce("n", F.lit(0)).alias("n"), head.alias("h"))
+    return taken.union(kept.where("at >= h").select("conv", (F.col("at") - F.col("h") + F.col("n")).alias("at"), "digest", "chars"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = staged(turn_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet")), "turns")
+    nodes, members = prefix_trie(staged(rebuilt(own), "rebuilt"), own.select("conv").distinct())
+    ends = ordered_sha256(members, "p", "conv", "conv", "ends_sha256", ",")
+    return nodes.join(ends, "p", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
+def op13_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_pieces(documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+    return decode_pieces(encoded).select(
+        "doc_id", (F.octet_length("piece_ids") / 4).cast("long").alias("n_tokens"), ids_digest().alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_quality_bands, op2_line_dedup, op3_best_fit_packing, op4_url_filter, op5_minhash_near_dup, op6_training_order,
-    op7_token_count, op8_mixing, op9_chat_format, op10_exact_dedup)}
+    op7_token_count, op8_mixing, op9_chat_format, op10_exact_dedup, op11_turn_repair, op12_prefix_trie, op13_piece_encoding)}
 
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
