@@ -1,4 +1,4 @@
-"""A per-worker memo of short strings and their ids, bounded in bytes."""
+"""A per-worker memo of strings and what was made of them, bounded in bytes."""
 
 from __future__ import annotations
 
@@ -14,14 +14,16 @@ class Memo(dict):
     ``limit`` bytes they become the old generation and the former old ones are forgotten; words
     still in use come back. So a worker holds twice ``limit`` at most, whatever the texts."""
 
-    def __init__(self, make: Callable[[str], bytes], limit: int = MEMO_BYTES):
+    def __init__(self, make: Callable[[str], object], limit: int = MEMO_BYTES):
         self.make, self.limit, self.old, self.held = make, limit, {}, 0
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: str) -> object:
         value = self.old.get(word)
         if value is None:
             value = self.make(word)
-        size = ENTRY_BYTES + len(word) + len(value)
+        size = ENTRY_BYTES + len(word) + (len(value) if isinstance(value, bytes) else 0)
+        if 64 * size > self.limit:
+            return value  # too long to be worth its room
         if self.held + size > self.limit:
             self.old, self.held = dict(self), 0
             self.clear()

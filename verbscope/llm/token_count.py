@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbscope.llm.common import quoted, without
-from verbscope.llm.wordpieces import Memo, as_letters, default_tokenizer, split_specials, split_words
+from verbscope.llm.memo import Memo
+from verbscope.llm.wordpieces import as_letters, default_tokenizer, split_specials, split_words
 
 
 @functools.lru_cache(maxsize=4)

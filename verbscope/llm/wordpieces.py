@@ -1,9 +1,10 @@
-"""Splitting texts into the tokenizer's pre-tokens, and encoding them with a per-worker
-memo of pre-tokens.
+"""Ids of whole texts, and the tokenizer's pre-tokens for operators that merge by themselves.
 
-A byte-level BPE never merges across pre-tokens, so a text's ids are the ids of its
-pre-tokens in order. Texts repeat most of their pre-tokens: each is encoded once per
-worker by the library (or by an operator's own routine) and remembered in a bounded memo.
+Whole texts are encoded by a rank-merging library's public call where that is the same as the
+vocabulary file's own library: ids must stand in merge order, which is checked, and the split
+pattern must be the byte-level one. Its splits were compared with the file's library on every
+code point. Elsewhere, and for a run of white space that overflows the pattern's stack, the
+file's own library encodes. No memo is needed, so memory doesn't depend on the texts.
 """
 
 from __future__ import annotations
@@ -11,8 +12,8 @@ from __future__ import annotations
 import functools
 import json
 import re
-import struct
-from collections.abc import Callable
+
+import numpy as np
 
 # The split pattern of the byte-level vocabularies (see the tokenizer
 # files' README), with its character classes written out up to U+024F.
@@ -23,9 +24,6 @@ _SPLIT = re.compile(f" ?[{_L}]+| ?[{_N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{_S}{_L}{_N}
 #: Texts of these characters only are split by the pattern above; others by the library.
 _PLAIN = re.compile("[\x00-ɏ‐-‧€]*")
 
-MEMO_WORDS = 600_000
-
-
 def default_tokenizer() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -65,24 +63,6 @@ def split_specials(text: str, path: str) -> list[str]:
     return pattern.split(text) if pattern and pattern.search(text) else [text]
 
 
-class Memo(dict):
-    """word -> value, made by ``make(word)`` when missing. Bounded: when full, its words become
-    the old generation and the former old ones are forgotten; words still in use come back."""
-
-    def __init__(self, make: Callable[[str], object], limit: int = MEMO_WORDS):
-        self.make, self.limit, self.old = make, limit, {}
-
-    def __missing__(self, word: str):
-        value = self.old.get(word)
-        if value is None:
-            value = self.make(word)
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[word] = value
-        return value
-
-
 @functools.lru_cache(maxsize=4)
 def byte_letters() -> dict[int, str]:
     """byte -> the letter that stands for it in byte-level vocabularies: itself where it
@@ -97,52 +77,50 @@ def as_letters(word: str) -> str:
     return word.encode().decode("latin-1").translate(byte_letters())
 
 
-#: Longer pre-tokens go to the library, whose merging stays near linear.
-RANKED_MOST = 400
+# Fixed value: the byte-level split pattern, as the vocabulary files' README gives it.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 @functools.lru_cache(maxsize=4)
 def ranked(path: str):
-    """A pre-token's bytes -> its ids by merging ranks, which is cheaper than the library's model,
-    or None where it isn't the same: ids have to stand in merge order, which is checked."""
+    """The vocabulary as ranks, or None where merging by rank isn't the same as the file's merges."""
     with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
-    vocab, letters = model["vocab"], {c: b for b, c in byte_letters().items()}
+        whole = json.load(f)
+    model, letters = whole["model"], {c: b for b, c in byte_letters().items()}
+    if (whole.get("normalizer") or (whole.get("pre_tokenizer") or {}).get("type") != "ByteLevel"
+            or whole["pre_tokenizer"].get("add_prefix_space") or not whole["pre_tokenizer"].get("use_regex", True)):
+        return None
+    vocab = model["vocab"]
     made = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
     singles = {vocab.get(c) for c in letters}
     if None in made or None in singles or made != sorted(set(made)) or max(singles) > made[0]:
         return None
-    used = {*made, *singles}
     import tiktoken
-    return tiktoken.Encoding("ranked", pat_str=".", special_tokens={}, mergeable_ranks={
-        bytes(letters[c] for c in token): k for token, k in vocab.items() if k in used})._core_bpe.encode_single_piece
-
-
-@functools.lru_cache(maxsize=4)
-def id_memo(path: str) -> Memo:
-    """word -> its ids as little-endian unsigned 32-bit bytes."""
-    merge, fast = tokenizer(path).model.tokenize, ranked(path)
-
-    def ids(word: str) -> bytes:
-        if fast and len(word) <= RANKED_MOST:
-            found = fast(word.encode())
-        else:
-            found = [t.id for t in merge(as_letters(word))]
-        return struct.pack(f"<{len(found)}I", *found)
-
-    return Memo(ids)
+    used = {*made, *singles}
+    return tiktoken.Encoding("ranked", pat_str=PATTERN, special_tokens=special_tokens(path), mergeable_ranks={
+        bytes(letters[c] for c in token): k for token, k in vocab.items() if k in used})
 
 
 def encode(text: str, path: str, specials: bool = True) -> bytes:
     """A text's ids as little-endian unsigned 32-bit bytes. ``specials``: special tokens'
     strings in the text become their ids (the library's default), else ordinary text."""
-    out = []
-    for k, part in enumerate(split_specials(text, path) if specials else [text]):
-        if k % 2:
-            out.append(special_tokens(path)[part].to_bytes(4, "little"))
-        elif part:
-            out.extend(map(id_memo(path).__getitem__, split_words(part, path)))
-    return b"".join(out)
+    if (fast := ranked(path)) is not None:
+        try:
+            found = fast.encode_to_numpy(text, allowed_special="all" if specials else set(), disallowed_special=())
+            return found.astype("<u4", copy=False).tobytes()
+        except ValueError:  # the pattern's stack is too small for a very long run of white space
+            pass
+    library = tokenizer(path) if specials else _ordinary(path)
+    return np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@functools.lru_cache(maxsize=4)
+def _ordinary(path: str):
+    """The library's tokenizer for texts whose special tokens' strings are ordinary text."""
+    from tokenizers import Tokenizer
+    own = Tokenizer.from_file(path)
+    own.encode_special_tokens = True
+    return own
 
 
 @functools.lru_cache(maxsize=4)
