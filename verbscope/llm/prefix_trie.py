@@ -34,7 +34,7 @@ from verbscope.llm.common import join_same, quoted, staged
 from verbscope.llm.turn_order import with_position
 
 BLOCK = 256
-ROOT = F.lit(bytearray(16))
+ROOT_P = bytearray(16)  # prefix of no turns
 
 
 def turn_rows(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -210,7 +210,7 @@ def prefix_trie(rows: DataFrame, conversations: DataFrame, block: int = BLOCK) -
     tops = (blocks.select("conv", "base", F.element_at("path", -1).alias("e")).withColumn("k", F.row_number().over(last))
             .where("k = 1").select("conv", F.col("e.p").alias("p"), F.col("e.cum").alias("cum")))
     members = join_same(conversations.select("conv"), tops, ["conv"], "left").select(
-        "conv", F.coalesce("p", ROOT).alias("p"), F.coalesce("cum", F.lit(0)).alias("cum"))
+        "conv", F.coalesce("p", F.lit(ROOT_P)).alias("p"), F.coalesce("cum", F.lit(0)).alias("cum"))
     members = staged(members, "members")
     ends = members.groupBy("p").agg(F.count("*").alias("m"), F.min("conv").alias("least"))
     trie = build(blocks)
@@ -221,13 +221,13 @@ def prefix_trie(rows: DataFrame, conversations: DataFrame, block: int = BLOCK) -
         "leaves", "cums", "chars")])
     all_ = members.agg(F.count("*").alias("n"), F.min("conv").alias("least"), F.sum("cum").alias("all_cums"))
     root = all_.crossJoin(top).where("n > 0").select(  # one row by one row
-        F.lit(0).cast("long").alias("depth"), ROOT.alias("p"), F.col("least").alias("conv_id"),
+        F.lit(0).cast("long").alias("depth"), F.lit(ROOT_P).alias("p"), F.col("least").alias("conv_id"),
         F.lit(None).cast(members.schema["conv"].dataType).alias("parent_conv_id"), F.col("n").alias("n_convs"),
         F.col("children").alias("n_children"), F.greatest("leaves", F.lit(1)).cast("long").alias("n_leaves"),
         (F.col("cums") - F.col("chars")).cast("long").alias("saved_tokens"))
 
     ups = whole.select(F.col("p").alias("over_p"), F.col("least").alias("over")).union(
-        all_.where("n > 0").select(ROOT.alias("over_p"), "least"))
+        all_.where("n > 0").select(F.lit(ROOT_P).alias("over_p"), "least"))
     edges = whole.join(ups, F.col("up_p") == F.col("over_p"), "left")
     # characters of the distinct texts from here downwards: all of the subtree's but the edge's part above
     nodes = edges.select("*", F.posexplode("label").alias("i", "x")).select(
