@@ -25,6 +25,64 @@ def test_read_table_multiline_and_malformed(spark, tmp_path):
     assert got == [("1", "hola", 3, "creer"), ("2", "dos\nlineas", 3, "creer")]
 
 
+def test_rejects_do_not_depend_on_columns(spark, tmp_path):
+    p = tmp_path / "t-tweets.csv"
+    lines = [HEADER, tweet_line("1", "hola"), tweet_line("2", "mal").replace("~4", "~x"), tweet_line("3", "largo") + "~extra",
+             "4~u1~p1~2021", tweet_line("5", '"con ~ y ""q"""'), tweet_line("6", "corto").rsplit("~", 2)[0],
+             tweet_line("7", "corto y mal").replace("~1~", "~z~").rsplit("~", 1)[0], "8"]
+    p.write_text("\n".join(lines) + "\n")
+    for breaks in (True, False):
+        kept = R.read_table(spark, str(p), quoted_breaks=breaks)
+        want = ["1", "4", "5", "6", "8"]
+        assert [r[0] for r in rows(kept, "tweet_id")] == want and kept.count() == 5
+        for c in kept.columns:  # any one column, and none at all
+            assert R.read_table(spark, str(p), columns=[c], quoted_breaks=breaks).count() == 5
+            assert len(R.read_table(spark, str(p), columns=[c], quoted_breaks=breaks).collect()) == 5
+        short = kept.where("tweet_id = '6'").first()
+        assert (short["text_orig"], short["retweet_count"], short["reply_count"], short["like_count"]) == ("corto", 1, 2, None)
+        bad = R.rejected_rows(R.parse_table(spark, str(p), quoted_breaks=breaks))
+        assert bad.count() == 3
+        assert sorted((r["record"].strip()[0], r["reason"], r["file_name"]) for r in bad.collect()) == [
+            ("2", "value", "t-tweets.csv"), ("3", "fields", "t-tweets.csv"), ("7", "value", "t-tweets.csv")]
+
+
+def test_reject_spanning_lines(spark, tmp_path):
+    p = tmp_path / "x-tweets.csv"
+    p.write_text("\n".join([HEADER, tweet_line("1", '"dos\nlineas"') + "~más", tweet_line("2", '"tres\n~\nlineas"')]) + "\n")
+    bad = R.rejected_rows(R.parse_folder(spark, str(tmp_path)))
+    assert [(r["record"].strip(), r["reason"]) for r in bad.collect()] == [(tweet_line("1", '"dos\nlineas"') + "~más", "fields")]
+    assert rows(R.read_folder(spark, str(tmp_path)), "tweet_id", "text_orig") == [("2", "tres\n~\nlineas")]
+
+
+def test_large_file_is_split_without_quoted_breaks(spark, tmp_path):
+    p = tmp_path / "big-tweets.csv"
+    p.write_text(HEADER + "\n" + "\n".join(tweet_line(str(k), "x" * 100) for k in range(2000)) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        assert R.read_table(spark, str(p), quoted_breaks=False).rdd.getNumPartitions() > 4
+        assert R.read_table(spark, str(p), quoted_breaks=False).count() == 2000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_corpus_rejects(spark, tmp_path):
+    from verbscope.plans.bindings import CORPUS_HEADERS
+    p = tmp_path / "corpus.tsv"
+    n = len(CORPUS_HEADERS)
+    p.write_text("\n".join(["\t".join(CORPUS_HEADERS), "\t".join("v" * n), "\t".join("w" * (n + 1)), "\t".join("s" * (n - 2))]) + "\n")
+    df = R.read_corpus(spark, str(p))
+    assert [r[0] for r in rows(df, "bibliografia")] == ["s", "v"] and df.count() == 2
+    assert [r["reason"] for r in R.rejected_rows(R.parse_corpus(spark, str(p))).collect()] == ["fields"]
+
+
+def test_topic_from_path_many_verbs(spark):
+    verbs = spark.range(30000).selectExpr("concat('v', id) as verb", "'t' as verb_type", "'' as indicativo", "cast(id as int) as ord")
+    df = spark.createDataFrame([("twitter-v29999-x.csv",), ("none.v1",), (None,), ("nope",)], "name string")
+    got = {r["name"]: r["topic"] for r in R.topic_from_path(df, "name", verbs).collect()}
+    assert got == {"twitter-v29999-x.csv": "v2", "none.v1": None, None: None, "nope": None}
+
+
 def test_read_folder(spark, tmp_path):
     for folder in ("creer", "decir"):
         d = tmp_path / folder

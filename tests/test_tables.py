@@ -121,9 +121,55 @@ def test_verb_type_counts_multi_class(spark):
     assert rows(AG.verb_type_counts(docs, "doc_id", "verbs", verbs)) == [("epistemic", 2), ("stative", 1)]
 
 
-def test_bounded_broadcast_falls_back(spark):
+def test_small_side_goes_by_planned_bytes(spark):
     dim = spark.range(10).toDF("k")
-    assert JN.bounded_broadcast(dim, max_rows=5) is dim
+    assert JN.small_side(dim, max_bytes=5) is dim
+    hinted = spark.range(3).toDF("k").join(JN.small_side(dim), "k")
+    assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+    unknown = spark.createDataFrame([(1,)], "k int")  # no size known: never hinted
+    assert JN.small_side(unknown) is unknown
+
+
+def test_dotted_names_and_maps(spark):
+    new = spark.createDataFrame([("k", 2, {"b": 1, "a": 2}), (None, 1, None), ("k", 1, {"x": 0})], "`a.key` string, `m.x` int, props map<string,int>")
+    prev = spark.createDataFrame([(None, 5, {"q": 1}), ("old", 1, None)], new.schema)
+    got = {r["a.key"]: (r["m.x"], r["props"], r["is_new"]) for r in SE.merge_pull(new, prev, "a.key", "m.x").collect()}
+    assert got == {"k": (1, {"x": 0}, True), None: (1, None, False), "old": (1, None, False)}
+    assert rows(AG.duplicate_report(new, "a.key")) == [(3, 1)]
+    assert SE.merge_counts(new, prev, "a.key").first().asDict() == {"rows": 5, "kept": 3, "dups": 2, "new": 1}
+    one = spark.createDataFrame([("k", "one")], "`a.key` string, `d.v` string")
+    assert rows(JN.left_join(new.drop("props"), one, "a.key")) == [("k", 1, "one"), ("k", 2, "one"), (None, 1, None)]
+    assert JN.anti_join(new, one, "a.key").count() == 1 and JN.semi_join(new, one, "a.key").count() == 2
+    # map keys: entry order doesn't matter
+    twice = spark.sql("select map('a', 1, 'b', 2) m, 1 n union all select map('b', 2, 'a', 1), 2")
+    assert [r["n"] for r in DD.dedup_first(twice, "m", "n").collect()] == [1]
+
+
+def test_keep_first_sorts_no_text(spark):
+    df = spark.createDataFrame([("t", 1, "x")], "text string, id long, other string")
+    for out in (DD.dedup_first(df, "text", "id"), SE.merge_pull(df, df, "text", "id"), AG.duplicate_report(df, "text", "other")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan
+    assert "WindowGroupLimit" in DD.dedup_first(df, "text", "id")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_report_with_total(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "x"), ("b", None), ("b", None)], "folder string, k string")
+    assert rows(AG.duplicate_report(df, "k", "folder", total="all")) == [("a", 2, 1), ("all", 5, 3), ("b", 3, 1)]
+
+
+def test_substring_join_any_size(spark):
+    texts = ["", None, "abc", "xabcdx", "日本語テキスト", "a🙂bcd🙂e", "long " * 3000 + "needle at the end", "abc"]
+    terms = ["", None, "a", "bc", "abcd", "abcde", "本語", "🙂bcd🙂", "needle", "g needle at the end", "zzz", "bc"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id int, text string")
+    dim = spark.createDataFrame([(t, k) for k, t in enumerate(terms)], "term string, n int")
+    want = []
+    for k, t in enumerate(texts):
+        hits = [n for n, x in enumerate(terms) if t is not None and x is not None and x in t]
+        want += [(k, n) for n in hits] or [(k, None)]
+    assert rows(JN.substring_join(df, "text", dim, "term").select("id", "n")) == sorted(want, key=repr)
+    plan = JN.substring_join(df, "text", dim, "term")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_empty_frames(spark):

@@ -12,6 +12,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import small_side
+from .names import as_list, group_key, quoted
+
 
 def _keys(k):
     if k is None:
@@ -86,27 +89,32 @@ def table_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)).cast("long"))
 
 
-def duplicate_report(df: DataFrame, keys, by=None) -> DataFrame:
+def duplicate_report(df: DataFrame, keys, by=None, total: str | None = None) -> DataFrame:
     """Rows in and duplicates by ``keys`` per group ``by``.
 
-    ``dups = rows - distinct keys``; keys are packed in a struct so that a null key
-    counts as one value (``duplicated`` treats nulls as equal). Two aggregation steps
-    (distinct key per group, then count) keep each step partial-aggregatable.
+    ``dups = rows - distinct keys``; a null key counts as one value (``duplicated`` treats nulls as
+    equal). Wide keys are counted by their digests. Two aggregation steps (rows per group and key,
+    then per group) are both combined map-side. With ``total`` the report ends with one more row for
+    the whole table, in which keys are compared across groups; ``by`` then holds ``total``.
     """
-    keys = _keys(keys)
-    by = _keys(by)
-    per_key = df.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("_c"))
+    keys, by = as_list(keys), as_list(by or [])
+    on = {f"_key{i}": group_key(df, k) for i, k in enumerate(keys)}
+    per_key = df.select(*[quoted(c) for c in by], *[c.alias(n) for n, c in on.items()]).groupBy(
+        *[quoted(c) for c in by], *on).agg(F.count(F.lit(1)).alias("_c"))
     agg = [F.sum("_c").cast("long").alias("original"),
            (F.sum("_c") - F.count(F.lit(1))).cast("long").alias("dups")]
-    return per_key.groupBy(*by).agg(*agg) if by else per_key.agg(*agg)
+    report = per_key.groupBy(*[quoted(c) for c in by]).agg(*agg) if by else per_key.agg(*agg)
+    if total is None or not by:
+        return report
+    whole = per_key.groupBy(*on).agg(F.sum("_c").alias("_c")).agg(*agg)
+    return report.union(whole.select(*[F.lit(total if c == by[0] else None).cast("string").alias(c) for c in by], "original", "dups"))
 
 
 def verb_type_counts(df: DataFrame, id_col: str, verbs_col: str, verbs: DataFrame) -> DataFrame:
     """Documents per verb class; a document with verbs of two classes counts in both."""
-    from .joins import bounded_broadcast
-    e = df.select(id_col, F.explode(F.array_distinct(F.col(verbs_col))).alias("verb"))
-    j = e.join(bounded_broadcast(verbs.select("verb", "verb_type")), "verb")
-    return (j.select(id_col, "verb_type").distinct().groupBy("verb_type")
+    e = df.select(quoted(id_col).alias("_id"), F.explode(F.array_distinct(quoted(verbs_col))).alias("verb"))
+    j = e.join(small_side(verbs.select("verb", "verb_type")), "verb")
+    return (j.select("_id", "verb_type").distinct().groupBy("verb_type")
             .agg(F.count(F.lit(1)).alias("n_docs")))
 
 

@@ -1,54 +1,36 @@
 """F1 / F2: keep the first row per key.
 
-"First" needs an explicit order (pandas' file order has no Spark counterpart). The
-keep-first is written as an aggregate -- ``min(struct(order..., rest...))`` grouped by
-the key -- instead of ``row_number()`` over a window: the aggregate is combined
-map-side before the shuffle, so a hot key holding a large share of the rows is
-collapsed to one row per map task instead of landing whole in one reduce task.
-Nulls in key columns compare equal (as ``DataFrame.duplicated`` does).
+"First" needs an explicit order (pandas' file order has no Spark counterpart). Wide keys are
+grouped by a 256-bit digest, so neither the shuffle nor any sort compares texts. The first row is
+``row_number() = 1`` per digest: Spark keeps one row per key and map task before the shuffle
+(a window group limit), so a key that holds a third of the rows costs one row per task on the
+wire, and nothing but the winners is shuffled. Nulls in key columns compare equal (as
+``DataFrame.duplicated`` does). Columns of any type may be carried, maps included.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-
-def _orderable(dt: T.DataType) -> bool:
-    if isinstance(dt, T.MapType):
-        return False
-    if isinstance(dt, T.ArrayType):
-        return _orderable(dt.elementType)
-    if isinstance(dt, T.StructType):
-        return all(_orderable(f.dataType) for f in dt.fields)
-    return True
+from .names import as_list, group_key, quoted, row_hash
 
 
 def dedup_first(df: DataFrame, keys, order) -> DataFrame:
-    """one row per ``keys``, the smallest by ``order`` (ties broken by the other columns)."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    order = [order] if isinstance(order, str) else list(order)
-    cols = df.columns
-    rest = [c for c in cols if c not in keys and c not in order]
-    packed_cols = [c for c in order if c not in keys] + rest
-    if not packed_cols:
-        return df.select(*keys).distinct().select(*cols)
-    if all(_orderable(df.schema[c].dataType) for c in packed_cols):
-        packed = F.struct(*[F.col(f"`{c}`").alias(f"_f{i}") for i, c in enumerate(packed_cols)])
-        out = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.min(packed).alias("_first"))
-        return out.select(*[F.col(f"`{k}`") for k in keys],
-                          *[F.col(f"_first._f{i}").alias(c) for i, c in enumerate(packed_cols)]
-                          ).select(*[F.col(f"`{c}`") for c in cols])
-    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*[F.col(f"`{c}`") for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """one row per ``keys``, the smallest by ``order`` (nulls first; ties broken by a hash of
+    the row, so a tie falls the same way on every run)."""
+    keys, order = as_list(keys), as_list(order)
+    names = {f"_key{i}": group_key(df, k) for i, k in enumerate(keys)}
+    ranked = df.withColumns({**names, "_tie": row_hash(df)})
+    w = Window.partitionBy(*names).orderBy(*[quoted(c) for c in order], "_tie")
+    return ranked.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop(*names, "_tie", "_rank")
 
 
 def dedup_first_per_folder(df: DataFrame, folder: str, keys, order,
                            cleaned: DataFrame | None = None) -> DataFrame:
     """F1 scoped to a folder; folders listed in ``cleaned`` (column ``folder``) are skipped."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    keys = as_list(keys)
     if cleaned is not None:
-        df = df.join(cleaned.select(F.col(cleaned.columns[0]).alias(folder)).distinct(), folder, "left_anti")
+        done = cleaned.select(quoted(cleaned.columns[0]).alias("_done")).distinct()
+        df = df.join(done, quoted(folder) == F.col("_done"), "left_anti")
     return dedup_first(df, [folder] + [k for k in keys if k != folder], order)
-

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .dedup import dedup_first
 from .joins import anti_join
+from .names import as_list, group_key, quoted
 
 
 def append(*frames: DataFrame) -> DataFrame:
@@ -29,7 +30,7 @@ def append_pages(pages: list, tables=None) -> dict:
             continue
         merged = append(*parts)
         if name == "meta" and "page" in merged.columns:
-            latest = merged.agg(F.max_by(F.struct(*merged.columns), F.col("page")).alias("_m"))
+            latest = merged.agg(F.max_by(F.struct(*[quoted(c) for c in merged.columns]), F.col("page")).alias("_m"))
             merged = latest.select("_m.*")
         out[name] = merged
     return out
@@ -37,56 +38,56 @@ def append_pages(pages: list, tables=None) -> dict:
 
 def id_union(existing: DataFrame, new: DataFrame) -> DataFrame:
     """H3: existing ids united with new ids (distinct)."""
-    return existing.select(F.col(existing.columns[0]).alias("id")).union(
-        new.select(F.col(new.columns[0]).alias("id"))).distinct()
+    return existing.select(quoted(existing.columns[0]).alias("id")).union(
+        new.select(quoted(new.columns[0]).alias("id"))).distinct()
 
 
 def id_intersect(existing: DataFrame, new: DataFrame) -> DataFrame:
     """H4: ids already seen."""
-    return existing.select(F.col(existing.columns[0]).alias("id")).intersect(
-        new.select(F.col(new.columns[0]).alias("id")))
+    return existing.select(quoted(existing.columns[0]).alias("id")).intersect(
+        new.select(quoted(new.columns[0]).alias("id")))
 
 
 def id_difference(new: DataFrame, existing: DataFrame) -> DataFrame:
     """H5: ids not seen before (distinct)."""
-    n = new.select(F.col(new.columns[0]).alias("id"))
-    e = existing.select(F.col(existing.columns[0]).alias("id"))
+    n = new.select(quoted(new.columns[0]).alias("id"))
+    e = existing.select(quoted(existing.columns[0]).alias("id"))
     return anti_join(n, e, "id").distinct()
 
 
 def split_by_flag(df: DataFrame, flag: str):
     """(rows where flag is true, rows where it is false); null flags go to neither."""
-    return df.where(F.col(flag)), df.where(~F.col(flag))
+    return df.where(quoted(flag)), df.where(~quoted(flag))
 
 
 def merge_pull(new: DataFrame, previous: DataFrame, keys, order) -> DataFrame:
     """H6: union(new, previous) -> keep the first row per key, new rows winning ->
     ``is_new`` is true for keys absent from the previous pull.
 
-    One union and one aggregate per key: ``min(struct(src, order, rest))`` keeps the
-    winning row and ``max(src)`` tells whether the previous pull had the key. The
-    aggregate is combined map-side, so a hot key never lands whole in one task.
+    The winners come from F1 with the pull as first order column; the previous pull's distinct keys,
+    as digests, are joined to them on the partitioning that F1 leaves behind.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    order = [order] if isinstance(order, str) else list(order)
-    cols = new.columns
-    u = append(new.withColumn("_src", F.lit(0)), previous.withColumn("_src", F.lit(1)))
-    rest = [c for c in cols if c not in keys and c not in order]
-    packed = ["_src"] + [c for c in order if c not in keys] + rest
-    g = u.groupBy(*keys).agg(
-        F.min(F.struct(*[F.col(c).alias(f"_f{i}") for i, c in enumerate(packed)])).alias("_first"),
-        F.max("_src").alias("_in_prev"))
-    out = g.select(*keys, *[F.col(f"_first._f{i}").alias(c) for i, c in enumerate(packed)],
-                   (F.col("_in_prev") == 0).alias("is_new"))
-    return out.select(*cols, "is_new")
+    keys, order, cols = as_list(keys), as_list(order), new.columns
+    both = append(new.withColumn("_src", F.lit(0)), previous.withColumn("_src", F.lit(1)))
+    first = dedup_first(both, keys, ["_src", *order])
+    on = [f"_key{i}" for i in range(len(keys))]
+    first = first.withColumns({n: group_key(first, k) for n, k in zip(on, keys)})
+    seen = both.where("_src = 1").select(*[group_key(both, k).alias(f"_prev{i}") for i, k in enumerate(keys)]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_prev{i}")) for i, n in enumerate(on)])
+    joined = first.join(seen.withColumn("_seen", F.lit(True)), same, "left")
+    return joined.select(*[quoted(c) for c in cols], F.col("_seen").isNull().alias("is_new"))
 
 
 def merge_counts(new: DataFrame, previous: DataFrame, keys) -> DataFrame:
     """E8 for one table: rows read (new + previous), rows kept (one per key),
     duplicates, and kept keys that are new (absent from the previous pull)."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    u = append(new.select(*keys).withColumn("_src", F.lit(0)), previous.select(*keys).withColumn("_src", F.lit(1)))
-    per_key = u.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.max("_src").alias("_maxsrc"),
+    keys = as_list(keys)
+
+    def narrow(df: DataFrame, src: int) -> DataFrame:
+        return df.select(*[group_key(df, k).alias(f"_key{i}") for i, k in enumerate(keys)], F.lit(src).alias("_src"))
+
+    u = narrow(new, 0).union(narrow(previous, 1))
+    per_key = u.groupBy(*[f"_key{i}" for i in range(len(keys))]).agg(F.count(F.lit(1)).alias("_rows"), F.max("_src").alias("_maxsrc"),
                                    F.min("_src").alias("_minsrc"))
     return per_key.agg(F.sum("_rows").cast("long").alias("rows"),
                        F.count(F.lit(1)).alias("kept"),

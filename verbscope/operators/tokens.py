@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import QUE_VARIANTS, QUE_WORDS, SPACE, WORD, ascii_fold
-from .joins import bounded_broadcast
+from .joins import small_side
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -119,10 +119,10 @@ def tokenize_long(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _target_flags(long: DataFrame, verbs: DataFrame) -> DataFrame:
-    """``in_dim``: the lemma is a verb of the dimension (broadcast lookup, size-checked)."""
+    """``in_dim``: the lemma is a verb of the dimension (broadcast lookup where its planned size is small)."""
     dim = (verbs.select(F.col("verb").alias("_dim_lemma")).where(F.col("_dim_lemma").isNotNull())
            .distinct().withColumn("in_dim", F.lit(True)))
-    out = long.join(bounded_broadcast(dim), F.col("lemma") == F.col("_dim_lemma"), "left")
+    out = long.join(small_side(dim), F.col("lemma") == F.col("_dim_lemma"), "left")
     return out.withColumn("in_dim", F.coalesce(F.col("in_dim"), F.lit(False))).drop("_dim_lemma")
 
 
@@ -415,7 +415,7 @@ def query_match(docs: DataFrame, verbs: DataFrame, id_col: str, text_col: str, t
             .where(F.col("_tok") != "or")
             .groupBy("_topic").agg(F.collect_set("_tok").alias("_conj")))
     d = docs.select(id_col, F.col(topic_col).alias("_topic"), F.col(text_col).alias("_text"))
-    d = d.join(bounded_broadcast(conj), "_topic", "left")
+    d = d.join(small_side(conj), "_topic", "left")
     # set semantics are kept by arrays_overlap itself; no distinct pass over the tokens
     hit = F.coalesce(F.arrays_overlap(token_list(ascii_fold(F.col("_text"))), F.col("_conj")), F.lit(False))
     return (d.groupBy("_topic").agg(F.count(F.when(hit, 1)).alias("matched"), F.count(F.lit(1)).alias("total"))

@@ -37,7 +37,7 @@ def verb_rows():
 
 def verbs_frame(spark: SparkSession) -> DataFrame:
     """The verb dimension: ``verb, verb_type, indicativo, ord``."""
-    return spark.createDataFrame(verb_rows(), "verb string, verb_type string, indicativo string, ord int")
+    return spark.sql(f"SELECT * FROM {verbs_values_sql()}")
 
 
 def verbs_values_sql() -> str:

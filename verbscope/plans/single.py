@@ -5,10 +5,12 @@ Each calls the library function itself; the SQL is written from the operator's m
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as TX
 from ..operators import aggregates as AG
@@ -18,6 +20,8 @@ from ..operators import joins as JN
 from ..operators import sequence as SQ
 from ..operators import setops as SE
 from ..operators import tokens as TK
+from ..session import shared_dir
+from ..sources import readers as RD
 from .bindings import verbs_frame
 from .catalog import _doc_verbs, _events_with_nulls, _long, _nested, _pulls, _t
 from .oracle import DEP_TEXT, DETAIL_TEXT, ORACLE as _MAIN, PAIRS, TARGETS, VERBS, _tok
@@ -105,6 +109,38 @@ def distance_table(spark, sf):
                     F.md5("dependencies").alias("dependencies_md5"), F.md5("details").alias("details_md5"))
 
 
+def _delimited(spark, sf):
+    """Customers written as ``~``-separated files with a header, records damaged by their number's last
+    digit: 3 one field too many, 4 a text where a number belongs, 5 too short, 6 separator and marks in quotes."""
+    c = _t(spark, sf, "customer")
+    digit, name = F.col("c_custkey") % 10, F.col("c_name")
+    fields = [F.col("c_custkey").cast("string"),
+              F.when(digit == 6, F.concat(F.lit('"'), name, F.lit('~""x"""'))).otherwise(name),
+              F.when(digit == 4, "x").otherwise(F.col("c_nationkey").cast("string")),
+              F.when(digit != 5, F.round(F.col("c_acctbal") * 100).cast("long").cast("string")), F.when(digit == 3, "more")]
+    path = f"{shared_dir(spark)}/delimited-{uuid.uuid4().hex}"
+    line = F.concat_ws("~", *fields).alias("~".join(f.name for f in _CUSTOMER.fields))
+    c.select(line).write.options(header=True, sep="\x01", quote="", emptyValue="").csv(path)
+    return RD.parse_table(spark, path, _CUSTOMER)
+
+
+_CUSTOMER = T.StructType().add("id", "long").add("name", "string").add("nation", "long").add("cents", "long")
+
+
+def read_table(spark, sf):
+    return RD.kept_rows(_delimited(spark, sf)).select("id", "name", "nation", "cents")
+
+
+def rejected_rows(spark, sf):
+    r = RD.rejected_rows(_delimited(spark, sf))
+    return r.select(F.substring_index("record", "~", 1).cast("long").alias("id"), "reason")
+
+
+def duplicate_report_total(spark, sf):
+    """Folder rows and the row of all folders together, keys compared across folders."""
+    return AG.duplicate_report(_t(spark, sf, "documents", spread=False), "text", "source", total="all folders")
+
+
 MEETS = ("the", "and", "que")
 
 
@@ -133,9 +169,20 @@ def page_batches_all(spark, sf):
 QUERIES = {f.__name__: f for f in (
     drop_null_text, dependency_in_text, filter_known_verbs, anti_join_tables, lookup, containment_join, substring_join,
     duplicate_total, distinct_values, table_shape, merge_tables_first, pos_text_corpus, token_details, distance_table,
-    token_intersects, convert_types, page_batches_all)}
+    token_intersects, convert_types, page_batches_all, read_table, rejected_rows,
+    duplicate_report_total)}
 
 ORACLE = {
+    "read_table": """
+SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 6 THEN c_name || '~"x"' ELSE c_name END AS name,
+       c_nationkey::BIGINT AS nation, CASE WHEN c_custkey % 10 <> 5 THEN round(c_acctbal * 100)::BIGINT END AS cents
+FROM customer WHERE c_custkey % 10 NOT IN (3, 4)""",
+    "rejected_rows": """
+SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 3 THEN 'fields' ELSE 'value' END AS reason
+FROM customer WHERE c_custkey % 10 IN (3, 4)""",
+    "duplicate_report_total": """
+SELECT source, count(*) AS original, count(*) - count(DISTINCT text) AS dups FROM documents GROUP BY source
+UNION ALL SELECT 'all folders', count(*), count(*) - count(DISTINCT text) FROM documents""",
     "drop_null_text": f"SELECT event_id FROM ({_events_sql()}) WHERE props IS NOT NULL",
     "dependency_in_text": _tok(f"\nSELECT doc_id, contains({DEP_TEXT}, 'ccomp') AS has_dep FROM tok GROUP BY doc_id"),
     "filter_known_verbs": _tok(f"""

@@ -11,19 +11,63 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.columns import standardize_columns
+from ..operators.dedup import dedup_first
+from ..operators.joins import substring_join
+from ..operators.names import quoted
 from .. import schemas as S
 
 # Fixed value: field separator of the tweet tables.
 CSV_SEP = "~"
 
 
-def _csv(spark: SparkSession, schema: T.StructType, sep: str, corrupt: bool = True):
-    r = (spark.read.schema(schema).option("sep", sep).option("header", True)
-         .option("multiLine", True).option("quote", '"').option("escape", '"')
-         .option("enforceSchema", False))
-    if corrupt:
-        r = r.option("mode", "DROPMALFORMED")
-    return r
+# Columns that a read carries until it is split into kept rows and rejects.
+RECORD, REASON = "_record", "_reason"
+
+
+def _sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _csv(spark: SparkSession, path, schema: T.StructType, sep: str, quoted_breaks: bool = True, **options) -> DataFrame:
+    """Every record of the files: the schema's columns, ``file_path``, and ``_record`` / ``_reason``, which are null
+    for rows that fit.
+
+    Parsing is permissive and whole: the reason depends on the corrupt-record column and on every data
+    column, so all fields of a record are converted whatever columns are asked for later, and a row is
+    rejected or kept for good. A record that is only too short is not bad: missing fields at its end are null, as the record is
+    parsed again with separators added. Left are records with too many fields (``fields``) and
+    records with a value that doesn't fit its type (``value``).
+
+    ``quoted_breaks=False`` says that no quoted field holds a line break: files are split then, and
+    one large file is read by many tasks.
+    """
+    how = {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD}
+    full = T.StructType([*schema.fields, T.StructField(RECORD, T.StringType())])
+    raw = (spark.read.schema(full).options(header=True, multiLine=quoted_breaks, enforceSchema=False, **how, **options)
+           .csv(path).withColumn("file_path", F.col("_metadata.file_path")).withColumn("file_name", F.col("_metadata.file_name")))
+    bare = F.regexp_replace(RECORD, '"([^"]|"")*"', "")
+    n_fields = F.char_length(bare) - F.char_length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
+    missing = F.lit(len(schema.fields)) - n_fields
+    padded = F.concat(RECORD, F.repeat(F.lit(sep), missing.cast("int")))
+    raw = raw.withColumn("_again", F.when(missing > 0, F.from_csv(padded, ", ".join(f"{_sql_name(f.name)} {f.dataType.simpleString()}" for f in full.fields), how)))
+    mended = F.col("_again").isNotNull() & F.col(f"_again.{RECORD}").isNull()
+    # always true, and reads every column: Spark converts only the columns that a plan needs, so
+    # a bad value in another one would go unseen
+    whole = F.xxhash64(*[quoted(f.name) for f in schema.fields]).cast("string") != ""
+    reason = F.when(whole & F.col(RECORD).isNotNull() & ~mended, F.when(missing < 0, "fields").otherwise("value"))
+    return raw.select(*[F.when(mended, F.col("_again")[f.name]).otherwise(quoted(f.name)).alias(f.name) for f in schema.fields],
+                      "file_path", "file_name", F.col(RECORD), reason.alias(REASON))
+
+
+def kept_rows(parsed: DataFrame) -> DataFrame:
+    """Rows that fit the schema."""
+    return parsed.where(F.col(REASON).isNull()).drop(RECORD, REASON)
+
+
+def rejected_rows(parsed: DataFrame) -> DataFrame:
+    """``file_path, file_name, record, reason`` of every record that doesn't fit (the reference warns of each)."""
+    return parsed.where(F.col(REASON).isNotNull()).select("file_path", "file_name", F.col(RECORD).alias("record"),
+                                                          F.col(REASON).alias("reason"))
 
 
 def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -38,14 +82,20 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     return df
 
 
+def parse_table(spark: SparkSession, path, schema: T.StructType = S.TWEETS_RAW, sep: str = CSV_SEP,
+                quoted_breaks: bool = True) -> DataFrame:
+    """A1 before the split: see ``kept_rows`` and ``rejected_rows``, which read the same frame."""
+    return _csv(spark, path, schema, sep, quoted_breaks)
+
+
 def read_table(spark: SparkSession, path, schema: T.StructType = S.TWEETS_RAW, columns=None,
-               sep: str = CSV_SEP, lang: str | None = None, topic: str | None = None) -> DataFrame:
-    """A1: ``~``-separated table with a header; quoted fields may span lines; rows
-    that do not fit the schema are skipped (``DROPMALFORMED``). Optional column
-    subset and ``lang`` / ``topic`` tag columns."""
-    df = _csv(spark, schema, sep).csv(path)
+               sep: str = CSV_SEP, lang: str | None = None, topic: str | None = None,
+               quoted_breaks: bool = True) -> DataFrame:
+    """A1: ``~``-separated table with a header; quoted fields may span lines; rows that do not fit
+    the schema are skipped, the same ones whatever ``columns``. Optional ``lang`` / ``topic`` tag columns."""
+    df = kept_rows(parse_table(spark, path, schema, sep, quoted_breaks)).drop("file_path", "file_name")
     if columns:
-        df = df.select(*columns)
+        df = df.select(*[quoted(c) for c in columns])
     tags = {}
     if lang is not None:
         tags["lang"] = F.lit(lang)
@@ -54,24 +104,31 @@ def read_table(spark: SparkSession, path, schema: T.StructType = S.TWEETS_RAW, c
     return df.withColumns(tags) if tags else df
 
 
-def read_corpus(spark: SparkSession, path, headers=None) -> DataFrame:
-    """A2: tab-separated concordance file, all columns strings, names unaccented and
-    lower-cased (B2)."""
+def parse_corpus(spark: SparkSession, path, headers=None, quoted_breaks: bool = True) -> DataFrame:
+    """A2 before the split into kept and rejected rows; names as in the file."""
     from ..plans.bindings import CORPUS_HEADERS
-    names = headers or CORPUS_HEADERS
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in names])
-    return standardize_columns(_csv(spark, schema, "\t").csv(path))
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers or CORPUS_HEADERS])
+    return _csv(spark, path, schema, "\t", quoted_breaks)
+
+
+def read_corpus(spark: SparkSession, path, headers=None, quoted_breaks: bool = True) -> DataFrame:
+    """A2: tab-separated concordance file, all columns strings, names unaccented and
+    lower-cased (B2). Rejected are rows with too many fields."""
+    return standardize_columns(kept_rows(parse_corpus(spark, path, headers, quoted_breaks)).drop("file_path", "file_name"))
+
+
+def parse_folder(spark: SparkSession, root: str, schema: T.StructType = S.TWEETS_RAW, glob: str = "*tweets*.csv",
+                 sep: str = CSV_SEP, quoted_breaks: bool = True) -> DataFrame:
+    """A3 before the split into kept and rejected rows."""
+    return _csv(spark, root, schema, sep, quoted_breaks, recursiveFileLookup=True, pathGlobFilter=glob)
 
 
 def read_folder(spark: SparkSession, root: str, schema: T.StructType = S.TWEETS_RAW,
-                glob: str = "*tweets*.csv", sep: str = CSV_SEP) -> DataFrame:
+                glob: str = "*tweets*.csv", sep: str = CSV_SEP, quoted_breaks: bool = True) -> DataFrame:
     """A3: every matching file under ``root`` (recursive), with ``file_path``,
     ``file_name`` and ``folder`` (parent directory name) columns."""
-    df = (_csv(spark, schema, sep).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-          .csv(root))
-    path = F.col("_metadata.file_path")
-    return df.select("*", path.alias("file_path"), F.col("_metadata.file_name").alias("file_name"),
-                     F.element_at(F.split(path, "/"), -2).alias("folder"))
+    df = kept_rows(parse_folder(spark, root, schema, glob, sep, quoted_breaks))
+    return df.withColumn("folder", F.element_at(F.split("file_path", "/"), -2))
 
 
 def explode_pages(pages: DataFrame) -> dict:
@@ -131,21 +188,19 @@ def read_ids(spark: SparkSession, path) -> DataFrame:
     return ids.where(F.col("id") != "").distinct()
 
 
-def topic_from_path(df: DataFrame, name_col: str, verbs: DataFrame, max_verbs: int = 10_000) -> DataFrame:
+def topic_from_path(df: DataFrame, name_col: str, verbs: DataFrame) -> DataFrame:
     """First verb in dimension order (``ord``) that is a substring of the file
     stem; null when none.
 
-    The verb dimension is small by nature (a hand-kept list); after a size check it
-    is inlined into the plan as a literal array, so each row is tested with
-    ``filter(array, v -> contains(stem, v))`` -- no join and no shuffle of the fact side.
+    Distinct stems (one per file, not per row) meet the verbs in the substring join, the first verb of
+    each stem is an aggregate, and rows get it by stem. Neither side has a size limit.
     """
-    rows = verbs.select("verb", "ord").where(F.col("verb").isNotNull()).limit(max_verbs + 1).collect()
-    if len(rows) > max_verbs:
-        raise ValueError(f"topic_from_path: verb dimension exceeds {max_verbs} rows")
-    ordered = [r["verb"] for r in sorted(rows, key=lambda r: (r["ord"], r["verb"]))]
-    stem = F.regexp_replace(F.col(name_col), "\\.[^.]*$", "")
-    arr = F.array(*[F.lit(v) for v in ordered]) if ordered else F.array().cast("array<string>")
-    return df.withColumn("topic", F.try_element_at(F.filter(arr, lambda v: stem.contains(v)), F.lit(1)))
+    stem = F.regexp_replace(quoted(name_col), "\\.[^.]*$", "")
+    dim = verbs.select(F.col("verb").alias("_verb"), F.col("ord").alias("_ord")).where("_verb is not null")
+    stems = df.select(stem.alias("_stem")).where("_stem is not null").distinct()
+    first = substring_join(stems, "_stem", dim, "_verb").where("_verb is not null")
+    first = dedup_first(first, "_stem", ["_ord", "_verb"]).select(F.col("_stem").alias("_of"), F.col("_verb").alias("topic"))
+    return df.drop("topic").withColumn("_stem", stem).join(first, F.col("_stem") == F.col("_of"), "left").drop("_stem", "_of")
 
 
 def keyword_from_path(df: DataFrame, name_col: str, pattern: str, group: int = 1) -> DataFrame:
@@ -161,5 +216,4 @@ def load_verbs(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
         df = spark.read.schema(S.VERBS).option("header", True).csv(path)
     else:
         df = spark.read.parquet(path)
-    from ..operators.dedup import dedup_first
     return dedup_first(df, "verb", "ord")

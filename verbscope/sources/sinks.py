@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import small_side
 from ..operators.sequence import with_batch_id
 from .readers import CSV_SEP
 
@@ -53,7 +53,7 @@ def by_verb_rows(df: DataFrame, verbs_col: str, verbs: DataFrame) -> DataFrame:
         else F.col(verbs_col)
     e = df.withColumn("verb", F.explode(F.array_distinct(lst)))
     dim = verbs.select("verb", F.lower("verb_type").alias("verb_type"))
-    return e.join(bounded_broadcast(dim), "verb")
+    return e.join(small_side(dim), "verb")
 
 
 def write_by_verb(df: DataFrame, verbs_col: str, verbs: DataFrame, path: str, fmt: str = "parquet",
