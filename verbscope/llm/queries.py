@@ -152,6 +152,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+# CRC-32 in SQL: the table of the reflected polynomial, and a fold of a text's characters over it (ASCII texts)
+_CRC = """crc_table AS (SELECT list(v ORDER BY k) AS tab FROM (SELECT k, list_reduce([k] || range(8),
+    lambda c, b: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(256)) AS k)))"""
+
+
+def _crc(text: str) -> str:
+    return (f"xor(4294967295::BIGINT, list_reduce([4294967295::BIGINT] || list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT), "
+            "lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))")
+
+
+def _best(cost: str, edits: str) -> str:
+    return f"printf('%012d', {cost}) || {edits}"
+
+
 ORACLE: dict[str, str] = {
     "op2_line_dedup": f"""
 WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
@@ -205,4 +219,64 @@ WITH n AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS t FROM docume
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
        sha256(t) AS text_sha256
 FROM n WINDOW g AS (PARTITION BY t)""",
+    "op11_turn_repair": f"""
+WITH RECURSIVE {_CRC},
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                 {_crc("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS f
+          FROM conversations, crc_table),
+hurt AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+                CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                unnest(CASE WHEN f = 3 THEN [1, 2] ELSE [1] END) AS copy
+         FROM keyed WHERE f <> 0),
+placed AS (SELECT *, trim(text, {_WHITE}) AS bare, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS k FROM hurt),
+faulty AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+                          WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                  left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS before FROM placed),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                  count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                  count(*) FILTER (k > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(k) AS n FROM faulty GROUP BY conv_id),
+-- states: 0 nothing yet, 1 system, 2 user, 3 assistant; best is cost and edits as one string, so that the least is the cheapest
+moves(a, b, made) AS (VALUES (0, 1, 's'), (0, 2, 'u'), (1, 2, 'u'), (3, 2, 'u'), (2, 3, 'a')),
+inserts(a, b, n) AS (VALUES (0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 3, 0), (0, 2, 1), (0, 3, 2), (1, 2, 1), (1, 3, 2), (2, 3, 1), (3, 2, 1)),
+edits AS (SELECT conv_id, k, a, b, 0 + 3 * (fault = 'truncated')::INT AS cost, 'K' AS edit FROM faulty JOIN moves ON made = initial WHERE fault IN ('', 'truncated')
+          UNION ALL SELECT conv_id, k, a, b, 3 + 3 * (fault = 'truncated')::INT, 'R' FROM faulty, moves WHERE fault IN ('', 'truncated') AND made <> 's'
+          UNION ALL SELECT conv_id, k, a, a, 4, 'D' FROM faulty, (VALUES (0), (1), (2), (3)) s(a)),
+steps AS (SELECT conv_id, k, e.a, i.b, e.cost + 3 * i.n AS cost, e.edit || repeat('I', i.n) AS edit FROM edits e JOIN inserts i ON i.a = e.b),
+paths AS (SELECT c.conv_id, 0 AS k, i.b AS s, {_best('3 * i.n', "repeat('I', i.n)")} AS best FROM counts c, inserts i WHERE i.a = 0
+          UNION ALL
+          SELECT p.conv_id, t.k, t.b, min({_best("p.best[:12]::BIGINT + t.cost", "p.best[13:] || t.edit")})
+          FROM paths p JOIN steps t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.k = p.k + 1 AND t.a = p.s GROUP BY p.conv_id, t.k, t.b),
+solved AS (SELECT p.conv_id, min(best)[:12]::BIGINT AS cost, min(best)[13:] AS audit FROM paths p JOIN counts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.k
+           WHERE s IN (0, 3) GROUP BY p.conv_id),
+spelt AS (SELECT conv_id, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS j FROM solved WHERE audit <> ''),
+run AS (SELECT *, count(*) FILTER (edit <> 'I') OVER w AS k, count(*) FILTER (edit <> 'D') OVER w AS p FROM spelt WINDOW w AS (PARTITION BY conv_id ORDER BY j)),
+said AS (SELECT r.conv_id, p, edit, f.role, f.text, f.initial FROM run r LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM r.conv_id AND f.k = r.k AND r.edit <> 'I' WHERE edit <> 'D'),
+led AS (SELECT *, coalesce(bool_or(p = 1 AND edit = 'K' AND initial = 's') OVER (PARTITION BY conv_id), false)::INT AS sys FROM said),
+hashes AS (SELECT conv_id, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (p - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY p)) AS h FROM led GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN solved s ON s.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN hashes h ON h.conv_id IS NOT DISTINCT FROM o.conv_id""",
+    "op12_prefix_trie": f"""
+WITH RECURSIVE {_CRC},
+own AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS k FROM conversations),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc('conv_id::VARCHAR')} % 6 AS h FROM (SELECT DISTINCT conv_id FROM conversations), crc_table),
+parts AS (SELECT c.conv_id, 0 AS part, o.k, role, text FROM convs c JOIN own o ON o.conv_id = c.base AND o.k <= h
+          UNION ALL SELECT c.conv_id, 1, o.k, role, text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.k > h),
+rebuilt AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, k) AS d, length(text) AS chars, md5(length(role) || ':' || role || text) AS t FROM parts),
+paths AS (SELECT conv_id, 0::BIGINT AS d, ''::VARCHAR AS p, ''::VARCHAR AS up, 0::BIGINT AS chars FROM convs
+          UNION ALL SELECT r.conv_id, r.d, md5(x.p || r.t), x.p, r.chars FROM paths x JOIN rebuilt r ON r.conv_id = x.conv_id AND r.d = x.d + 1),
+lens AS (SELECT conv_id, max(d) AS n FROM paths GROUP BY conv_id),
+nodes AS (SELECT d AS depth, p, any_value(up) AS up, min(x.conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+                 sha256(coalesce(string_agg(x.conv_id::VARCHAR, ',' ORDER BY x.conv_id) FILTER (n = d), '')) AS ends_sha256
+          FROM paths x JOIN lens USING (conv_id) GROUP BY d, p),
+kids AS (SELECT depth - 1 AS depth, up AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+flat AS (SELECT a.*, coalesce(kids.n, 0) AS n_children, b.conv_id AS parent_conv_id FROM nodes a LEFT JOIN kids ON kids.depth = a.depth AND kids.p = a.p
+         LEFT JOIN nodes b ON b.depth = a.depth - 1 AND b.p = a.up),
+below AS (SELECT depth AS depth0, p AS p0, depth, p, n_convs, chars, n_children FROM flat
+          UNION ALL SELECT b.depth0, b.p0, f.depth, f.p, f.n_convs, f.chars, f.n_children FROM below b JOIN flat f ON f.depth = b.depth + 1 AND f.up = b.p),
+sums AS (SELECT depth0, p0, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens FROM below GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM flat JOIN sums ON depth0 = depth AND p0 = p""",
 }
