@@ -10,13 +10,16 @@ Two forms of an annotated document are used:
   Text outputs and lookups by index (``element_at(tokens, head + 1)``) run per row
   with higher-order functions, no join.
 
-The long table is hash-partitioned on the document id once (before the explode), so
-every later window, group-by and the nesting reuse that partitioning without
-another shuffle. A document is a bounded group (its own token count).
+The long table is hash-partitioned once, before the explode, on the document's segments: a document up to
+``SEGMENT_CHARS`` is one segment, a longer one several, so it spreads over tasks. Later windows and groups
+per segment reuse that partitioning. Text outputs on the long form are in ``token_texts``; the nested form is for documents that
+fit in a row.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,22 +103,41 @@ def lexicon_frame(spark, lexicon=DEFAULT_LEXICON) -> DataFrame:
     return spark.createDataFrame(list(lexicon), "lex_word string, lex_pos string, lex_lemma string")
 
 
-def tokenize_long(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  partitions: int | None = None) -> DataFrame:
-    """Split every text into tokens: punctuation marks are tokens of their own,
-    white space separates the rest. Output ``<id>, i (0-based), text``.
+#: Code points of a text up to which it stays one segment. Longer texts are cut at white space.
+SEGMENT_CHARS = 32_768
+
+
+def segments(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", partitions: int | None = None,
+             size: int = SEGMENT_CHARS) -> DataFrame:
+    """Texts as rows of bounded size: ``<id>, whole, seg, piece``. A text of at most ``size`` code points is
+    one segment (``whole``, seg 0); a longer one is cut at white space, so no token is cut.
 
-    The documents are hash-partitioned on the id *before* the explode, so the shuffle
-    moves documents (one row each), not tokens, and every later per-document window
-    reuses this partitioning.
+    Segments are hash-partitioned here, before any token exists: the shuffle moves text, not tokens, a
+    very long document spreads over all tasks, and per-segment windows and groups need no shuffle more.
+    ``whole`` is known before a text is cut, so a filter on it reaches the scan. A document without an id
+    is never cut (its pieces could not be joined again).
     """
-    d = docs.select(id_col, text_col)
-    d = d.repartition(partitions, id_col) if partitions else d.repartition(id_col)
-    spaced = F.regexp_replace(F.col(text_col), f"([^{WORD}{SPACE}])", " $1 ")
+    text, whole = F.col(text_col), F.col(id_col).isNull() | (F.char_length(text_col) <= size)
+    cut = f"(?s).{{1,{size}}}(?:[{SPACE}]|\\z)|[^{SPACE}]+[{SPACE}]?"
+    pieces = F.when(whole, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit(cut), 0))
+    d = docs.select(id_col, whole.alias("whole"), pieces.alias("_pieces")).where(F.col("whole").isNotNull())
+    d = d.select(id_col, "whole", F.posexplode("_pieces").alias("seg", "piece"))
+    keys = (id_col, "whole", "seg")
+    return d.repartition(partitions, *keys) if partitions else d.repartition(*keys)
+
+
+def tokens_of(pieces: DataFrame) -> DataFrame:
+    """Every row's ``piece`` as tokens ``li`` (0-based in the piece), ``text``: punctuation marks are
+    tokens of their own, white space separates the rest."""
+    spaced = F.regexp_replace(F.col("piece"), f"([^{WORD}{SPACE}])", " $1 ")
     spaced = F.trim(F.regexp_replace(spaced, f"[{SPACE}]+", " "))
-    return (d.select(id_col, F.posexplode(F.split(spaced, " ")).alias("i", "text"))
-            .where(F.col("text") != "")
-            .withColumn("i", F.col("i").cast("int")))
+    rest = [c for c in pieces.columns if c != "piece"]
+    return (pieces.select(*rest, F.posexplode(F.split(spaced, " ")).alias("li", "text")).where(F.col("text") != ""))
+
+
+def has_tokens(text: Column) -> Column:
+    """Whether a text has any token (null text: no)."""
+    return F.coalesce(text.rlike(f"[^{SPACE}]"), F.lit(False))
 
 
 def _target_flags(long: DataFrame, verbs: DataFrame) -> DataFrame:
@@ -126,54 +148,101 @@ def _target_flags(long: DataFrame, verbs: DataFrame) -> DataFrame:
     return out.withColumn("in_dim", F.coalesce(F.col("in_dim"), F.lit(False))).drop("_dim_lemma")
 
 
+def is_verb_tag(c="tag") -> Column:
+    return F.col(c).isin(*VERB_TAGS)
+
+
 def add_token_features(long: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``is_target`` (VERB with a dimension lemma), running non-PUNCT count ``c`` and
-    running verb-tag count ``vc`` -- one window pass, growing frames only (O(n))."""
+    """``is_target`` (VERB with a dimension lemma) and the running counts ``c`` (tokens whose tag isn't PUNCT),
+    ``vc`` (verb tags) and ``rc`` (tokens that a verb run may hold), for tokens of whole documents -- one
+    window pass, growing frames only (O(n))."""
     w = Window.partitionBy(id_col).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (long
-            .withColumn("is_target", (F.col("pos") == "VERB") & F.col("in_dim"))
-            .withColumn("c", F.sum(F.when(~F.col("is_punct"), 1).otherwise(0)).over(w).cast("int"))
-            .withColumn("vc", F.sum(F.when(F.col("tag").isin(*VERB_TAGS), 1).otherwise(0)).over(w).cast("int")))
+    running = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).over(w).cast("int")
+    return long.withColumn("is_target", (F.col("pos") == "VERB") & F.col("in_dim")).select(
+        "*", running(F.col("tag") != "PUNCT").alias("c"), running(is_verb_tag()).alias("vc"),
+        running(F.col("pos").isin(*RUN_POS)).alias("rc"))
+
+
+def _tagged(tokens: DataFrame, verbs: DataFrame, lexicon) -> DataFrame:
+    """Default tags of tokens: two broadcast lookups and suffix rules, row by row."""
+    t = tokens.withColumn("_lw", F.lower(F.col("text")))
+    lw = F.col("_lw")
+    lex = F.broadcast(lexicon_frame(tokens.sparkSession, lexicon))  # fixed, ~100 rows
+    t = t.join(lex, lw == F.col("lex_word"), "left")
+    # a punctuation token is a single character (the tokenizer splits them off)
+    is_punct = F.when(F.length("text") == 1, F.col("text").rlike(f"^[^{WORD}{SPACE}]$")).otherwise(F.lit(False))
+    pos = (F.when(is_punct, "PUNCT").when(F.col("lex_pos").isNotNull(), F.col("lex_pos"))
+           .when(_verb_suffix(lw), "VERB").otherwise("NOUN"))
+    rest = [c for c in tokens.columns if c != "text"]
+    t = t.select(*rest, "text", F.coalesce(F.col("lex_lemma"), lw).alias("lemma"), pos.alias("pos"),
+                 F.col("lex_word").isNotNull().alias("is_stop"))
+    return _target_flags(t, verbs)
+
+
+# Three running counts in one sum of 64-bit numbers: non-PUNCT, verb tags, run tokens (20 bits each; a
+# segment has at most SEGMENT_CHARS tokens).
+_BITS = 20
+
+
+def _packed_counts() -> Column:
+    flags = (F.col("pos") != "PUNCT", is_verb_tag("pos"), F.col("pos").isin(*RUN_POS))  # tag = pos
+    return reduce(lambda a, b: a + b, [F.when(f, F.lit(1 << (_BITS * k))).otherwise(F.lit(0)).cast("long") for k, f in enumerate(flags)])
+
+
+def _unpacked(c: Column, k: int) -> Column:
+    return F.shiftright(c, _BITS * k).bitwiseAND(F.lit((1 << _BITS) - 1))
+
+
+def _verb_place(index: Column) -> Column:
+    """Place and dimension flag of a VERB as one number, so that the largest is the latest; null elsewhere."""
+    return F.when(F.col("pos") == "VERB", index * 2 + F.col("in_dim").cast("int"))
+
+
+def _before(tagged: DataFrame, id_col: str) -> DataFrame:
+    """What lies before each segment of a cut document, from one row per segment: tokens, the three
+    counts, the last VERB."""
+    per = tagged.groupBy(id_col, "whole", "seg").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(_packed_counts()).alias("p"), F.max(_verb_place(F.col("li").cast("long"))).alias("v"))
+    w = Window.partitionBy(id_col).orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("*", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("_n"),
+                     *[F.coalesce(F.sum(_unpacked(F.col("p"), k)).over(w), F.lit(0)).alias(f"_n{k}") for k in range(3)])
+    return per.select(F.col(id_col).alias("_id"), F.col("whole").alias("_whole"), F.col("seg").alias("_seg"), "_n", "_n0", "_n1", "_n2",
+                      F.max(F.col("_n") * 2 + F.col("v")).over(w).alias("_v"))
 
 
 def annotate(docs: DataFrame, verbs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             lexicon=DEFAULT_LEXICON, partitions: int | None = None) -> DataFrame:
+             lexicon=DEFAULT_LEXICON, partitions: int | None = None, segment_chars: int = SEGMENT_CHARS) -> DataFrame:
     """J1 default annotator -> long token table (a rule-based proxy, not a parser).
 
-    * token: see ``tokenize_long``;
+    * token: see ``tokens_of``;
     * pos: PUNCT for a single non-word character; else the lexicon's class; else VERB
       when the lower-cased word ends like an infinitive/gerund (``VERB_SUFFIX``);
       else NOUN. tag = pos, morph = null, is_stop = in the lexicon;
     * lemma: the lexicon's lemma, else the lower-cased word;
     * head: index of the nearest earlier VERB (a token without one is its own head);
     * dep: 'ccomp' for a VERB whose head verb has a lemma of the verb dimension, else 'dep'.
+
+    An id stands for one document. Indexes and counts run over a document, but windows only over its segments:
+    what lies before a segment comes from a table with one row per segment of a cut document. ``whole`` and
+    ``seg`` stay in the result, which is partitioned by them (see ``segments``).
     """
-    spark = docs.sparkSession
-    t = tokenize_long(docs, id_col, text_col, partitions).withColumn("_lw", F.lower(F.col("text")))
-    lw = F.col("_lw")
-    lex = F.broadcast(lexicon_frame(spark, lexicon))  # fixed, ~100 rows
-    t = t.join(lex, lw == F.col("lex_word"), "left")
-    # a punctuation token is a single character (the tokenizer splits them off)
-    is_punct = F.when(F.length("text") == 1, F.col("text").rlike(f"^[^{WORD}{SPACE}]$")).otherwise(F.lit(False))
-    pos = (F.when(is_punct, "PUNCT").when(F.col("lex_pos").isNotNull(), F.col("lex_pos"))
-           .when(_verb_suffix(lw), "VERB").otherwise("NOUN"))
-    t = t.select(id_col, "i", "text",
-                 F.coalesce(F.col("lex_lemma"), lw).alias("lemma"),
-                 pos.alias("pos"),
-                 F.col("lex_word").isNotNull().alias("is_stop"))
-    t = t.withColumn("tag", F.col("pos")).withColumn("is_punct", F.col("pos") == "PUNCT")
-    t = _target_flags(t, verbs)
-    w = Window.partitionBy(id_col).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.last(F.when(F.col("pos") == "VERB", F.struct(F.col("i").alias("hi"), F.col("in_dim").alias("hd"))),
-                  ignorenulls=True).over(w)
-    t = t.withColumn("_prev", prev)
-    t = (t.withColumn("head", F.coalesce(F.col("_prev.hi"), F.col("i")))
-          .withColumn("dep", F.when((F.col("pos") == "VERB") & F.coalesce(F.col("_prev.hd"), F.lit(False)),
-                                    "ccomp").otherwise("dep"))
-          .withColumn("morph", F.lit(None).cast("string"))
-          .drop("_prev"))
-    t = add_token_features(t, id_col)
-    return t.select(id_col, *TOKEN_COLS, "in_dim", "is_target", "c", "vc")
+    segs = segments(docs, id_col, text_col, partitions, segment_chars)
+    before = _before(_tagged(tokens_of(segs.where(~F.col("whole"))), verbs, lexicon), id_col)
+    joined = segs.join(before, (F.col(id_col) == F.col("_id")) & (F.col("whole") == F.col("_whole")) & (F.col("seg") == F.col("_seg")), "left")
+    carried = [F.coalesce(c, F.lit(0)).alias(c) for c in ("_n", "_n0", "_n1", "_n2")]
+    t = _tagged(tokens_of(joined.select(id_col, "whole", "seg", "piece", *carried, "_v")), verbs, lexicon)
+    w = Window.partitionBy(id_col, "whole", "seg").orderBy("li")
+    so_far, earlier = (w.rowsBetween(Window.unboundedPreceding, to) for to in (Window.currentRow, -1))
+    t = t.select("*", F.sum(_packed_counts()).over(so_far).alias("_p"),
+                 F.coalesce(F.max(_verb_place(F.col("_n") + F.col("li"))).over(earlier), F.col("_v")).alias("_prev"))
+    i = (F.col("_n") + F.col("li")).cast("int")
+    counts = [(F.col(f"_n{k}") + _unpacked(F.col("_p"), k)).cast("int").alias(c) for k, c in enumerate(("c", "vc", "rc"))]
+    return t.select(
+        id_col, i.alias("i"), "text", "lemma", "pos", F.col("pos").alias("tag"),
+        F.when((F.col("pos") == "VERB") & F.coalesce(F.col("_prev") % 2 == 1, F.lit(False)), "ccomp").otherwise("dep").alias("dep"),
+        F.coalesce(F.shiftright("_prev", 1).cast("int"), i).alias("head"), F.lit(None).cast("string").alias("morph"), "is_stop",
+        (F.col("pos") == "PUNCT").alias("is_punct"), "in_dim", ((F.col("pos") == "VERB") & F.col("in_dim")).alias("is_target"),
+        *counts, "whole", "seg")
 
 
 def annotate_with(docs: DataFrame, annotator, verbs: DataFrame, id_col: str = "doc_id",
@@ -192,7 +261,7 @@ def annotate_with(docs: DataFrame, annotator, verbs: DataFrame, id_col: str = "d
     schema = T.StructType([T.StructField(id_col, id_field.dataType)] + TOKEN_FIELDS)
     long = d.mapInPandas(annotator, schema)
     long = _target_flags(long, verbs)
-    return add_token_features(long, id_col).select(id_col, *TOKEN_COLS, "in_dim", "is_target", "c", "vc")
+    return add_token_features(long, id_col).select(id_col, *TOKEN_COLS, "in_dim", "is_target", "c", "vc", "rc")
 
 
 # Token fields read by the text outputs (J3-J10, J16) and by the head / distance
@@ -431,25 +500,30 @@ def verb_runs(long: DataFrame, id_col: str = "doc_id", pos_col: str = "pos", tex
     a run is kept when it holds at least ``min_verbs`` VERB/AUX. A leading ADP is
     dropped, a trailing one kept; the run at the end of the text is kept too.
 
-    Output ``<id>, run (0-based per document), n_verbs, text`` -- island = running
-    count of breaking tokens, all over the document partitioning (no new shuffle).
+    Output ``<id>, run (0-based per document), n_verbs, text``. Within a run the index less the running
+    count of run tokens (``rc``) stays the same, so a run is a group of its own, small however long the
+    document is; runs of documents in one segment are grouped without a shuffle.
     """
-    brk = F.when(F.col("_p").isin(*RUN_POS), 0).otherwise(1)
-    w = Window.partitionBy(id_col).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = long.select(id_col, "i", F.col(text_col).alias("_w"), F.col(pos_col).alias("_p"))
-    x = x.withColumn("_isl", F.sum(brk).over(w))
-    x = x.where(F.col("_p").isin(*RUN_POS))
-    wi = Window.partitionBy(id_col, "_isl")
-    x = x.withColumn("_first_v", F.min(F.when(F.col("_p") != "ADP", F.col("i"))).over(wi))
-    x = x.where(F.col("_first_v").isNotNull() & (F.col("i") >= F.col("_first_v")))
-    g = x.groupBy(id_col, "_isl").agg(
-        F.count(F.when(F.col("_p") != "ADP", 1)).alias("n_verbs"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "_w"))), lambda s: s["_w"]), " ").alias("text"),
-        F.min("i").alias("_start"))
-    g = g.where(F.col("n_verbs") >= min_verbs)
-    wr = Window.partitionBy(id_col).orderBy("_start")
-    return g.select(id_col, (F.row_number().over(wr) - 1).cast("int").alias("run"),
-                    F.col("n_verbs").cast("int").alias("n_verbs"), "text")
+    run_pos = F.col(pos_col).isin(*RUN_POS)
+    if "rc" not in long.columns or pos_col != "pos":
+        w = Window.partitionBy(id_col).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        long = long.withColumn("rc", F.sum(F.when(run_pos, 1).otherwise(0)).over(w))
+    x = long.where(run_pos).select(*[c for c in (id_col, "whole", "seg") if c in long.columns], "i", F.col(text_col).alias("_w"),
+                                   (F.col(pos_col) != "ADP").alias("_v"), (F.col("i") - F.col("rc")).alias("_run"))
+
+    def runs(part: DataFrame, keys: list) -> DataFrame:
+        g = part.groupBy(*keys, "_run").agg(
+            F.count(F.when(F.col("_v"), 1)).alias("n_verbs"), F.min(F.when(F.col("_v"), F.col("i"))).alias("_first"),
+            F.array_sort(F.collect_list(F.struct("i", "_w"))).alias("_t"))
+        words = F.transform(F.filter("_t", lambda t: t["i"] >= F.col("_first")), lambda t: t["_w"])
+        order = Window.partitionBy(*keys).orderBy("_first")
+        return g.where(F.col("n_verbs") >= min_verbs).select(
+            id_col, (F.row_number().over(order) - 1).cast("int").alias("run"), F.col("n_verbs").cast("int").alias("n_verbs"),
+            F.array_join(words, " ").alias("text"))
+
+    if "whole" not in x.columns:
+        return runs(x, [id_col])
+    return runs(x.where("whole"), [id_col, "whole", "seg"]).union(runs(x.where("not whole"), [id_col]))
 
 
 # ---------------------------------------------------------------------------
@@ -493,7 +567,7 @@ def _distance_struct(toks: Column, verb_idx: Column, p: Column) -> Column:
     k = _at(toks, p["ccomp_i"])
     v2_i = F.try_element_at(verb_idx, (h["vc"] + 1).cast("int"))
     v = _at(toks, v2_i)
-    k_np = F.when(k["is_punct"], 0).otherwise(1)
+    k_np = F.when(k["tag"] == "PUNCT", 0).otherwise(1)
     ccomp_dist = F.when(p["ccomp_i"] > p["head_i"], k["c"] - k_np - h["c"]).otherwise(F.lit(0))
     v2_dist = F.when(v2_i.isNotNull(), v["c"] - 1 - h["c"])
     return F.struct(p["head_lemma"].alias("head"), p["head_text"].alias("head_text"), p["head_i"].alias("head_i"),

@@ -1,8 +1,8 @@
 """Registered queries: each ``(spark, sf_dir) -> DataFrame`` over the whole test tables.
 
 Every computed column is aliased to the name used by the matching oracle SQL in
-``oracle.py``. Queries over annotated documents share one annotation plan
-(``_annotated``): documents -> long tokens (partitioned on doc_id) -> nested tokens.
+``oracle.py``. Queries over annotated documents share one annotation plan (``_long``): documents ->
+segments -> long tokens (partitioned on the segments).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from ..operators import joins as JN
 from ..operators import sampling as SA
 from ..operators import sequence as SQ
 from ..operators import setops as SE
+from ..operators import token_texts as TT
 from ..operators import tokens as TK
 from .bindings import BINDING_COMPLEMENTISERS, CORPUS_HEADERS, table, verbs_frame
 
@@ -33,22 +34,18 @@ def _t(spark, sf, name, spread: bool = True):
 
 
 def _long(spark: SparkSession, sf: str) -> DataFrame:
-    # annotate() hash-partitions the documents on doc_id itself: no extra spread
+    # annotate() hash-partitions the segments itself: no extra spread
     return TK.annotate(_t(spark, sf, "documents", spread=False), verbs_frame(spark))
 
 
-def _nested(spark: SparkSession, sf: str, fields=TK.TEXT_FIELDS) -> DataFrame:
-    return TK.nest_tokens(_long(spark, sf), fields=fields)
-
-
-def _nested_dist(spark: SparkSession, sf: str) -> DataFrame:
-    return _nested(spark, sf, TK.DISTANCE_FIELDS)
+def _texts(spark: SparkSession, sf: str, **pieces) -> DataFrame:
+    """One text per piece for every document, those without tokens included."""
+    return TT.document_texts(_long(spark, sf), pieces, docs=_t(spark, sf, "documents", spread=False))
 
 
 def _doc_verbs(spark: SparkSession, sf: str, as_text: bool = False) -> DataFrame:
-    """Per document (with at least one token): sorted target verbs; text form joins
-    them with ', ' and is null when there is none."""
-    v = TK.doc_target_verbs(_long(spark, sf))
+    """Per document: sorted target verbs; text form joins them with ', ' and is null when there is none."""
+    v = TT.document_verbs(_long(spark, sf), docs=_t(spark, sf, "documents", spread=False))
     if as_text:
         v = v.withColumn("verbs", F.when(F.size("verbs") > 0, F.array_join("verbs", ", ")))
     return v
@@ -140,7 +137,7 @@ def all_terms(spark, sf):
 
 
 def verb_then_que(spark, sf):
-    return TK.verb_then_que(_nested(spark, sf, ("i", "lemma", "is_target")), words=BINDING_COMPLEMENTISERS)
+    return TT.verb_then_que(_long(spark, sf), words=BINDING_COMPLEMENTISERS)
 
 
 def known_verbs(spark, sf):
@@ -281,23 +278,36 @@ def top_tokens(spark, sf):
     return SA.top_k(AG.value_counts(t, "word"), 20, ["n", "word"], [True, False])
 
 
-def _doc_text(name, col_fn):
-    def q(spark, sf):
-        return _nested(spark, sf).select("doc_id", col_fn().alias(name))
-    return q
-
-
 def target_verbs(spark, sf):
     return _doc_verbs(spark, sf, as_text=True)
 
 
-mark_text = _doc_text("normalized", lambda: TK.mark_text(mode="twitter"))
-mark_text_corpus = _doc_text("normalized", lambda: TK.mark_text(mode="corpus"))
-mark_text_variants = _doc_text("normalized", lambda: TK.mark_text(mode="variants"))
-dep_text = _doc_text("dependencies", TK.dep_text)
-pos_text = _doc_text("pos", TK.pos_text)
-detail_text = _doc_text("details", TK.detail_text)
-has_ccomp = _doc_text("has_ccomp", TK.has_ccomp)
+def mark_text(spark, sf):
+    return _texts(spark, sf, normalized=TT.mark_piece("twitter"))
+
+
+def mark_text_corpus(spark, sf):
+    return _texts(spark, sf, normalized=TT.mark_piece("corpus"))
+
+
+def mark_text_variants(spark, sf):
+    return _texts(spark, sf, normalized=TT.mark_piece("variants"))
+
+
+def dep_text(spark, sf):
+    return _texts(spark, sf, dependencies=TT.dep_piece())
+
+
+def pos_text(spark, sf):
+    return _texts(spark, sf, pos=TT.pos_piece())
+
+
+def detail_text(spark, sf):
+    return _texts(spark, sf, details=TT.detail_piece())
+
+
+def has_ccomp(spark, sf):
+    return TT.document_has_ccomp(_long(spark, sf), docs=_t(spark, sf, "documents", spread=False))
 
 
 def multi_verb(spark, sf):
@@ -309,13 +319,15 @@ def with_target_verbs(spark, sf):
 
 
 def process_batch(spark, sf):
-    docs = _t(spark, sf, "documents")
-    return TK.process_batch(_nested(spark, sf), text=docs)
+    return TT.process_batch(_long(spark, sf), text=_t(spark, sf, "documents", spread=False))
+
+
+def process_batch_corpus(spark, sf):
+    return TT.process_batch(_long(spark, sf), mode="corpus")
 
 
 def pos_pairs(spark, sf):
-    p = _nested(spark, sf).select("doc_id", TK.pos_text().alias("pos"))
-    return TK.parse_pos_text(p, "pos", "doc_id")
+    return TK.parse_pos_text(_texts(spark, sf, pos=TT.pos_piece()), "pos", "doc_id")
 
 
 def verb_runs(spark, sf):
@@ -323,16 +335,17 @@ def verb_runs(spark, sf):
 
 
 def ccomp_heads(spark, sf):
-    return TK.ccomp_heads(_nested_dist(spark, sf))
+    return TT.head_pairs(_long(spark, sf)).select("doc_id", F.col("head").alias("head_lemma"), "head_text", "head_i",
+                                                  F.col("ccomp").alias("ccomp_text"), "ccomp_i")
 
 
 def verb_distance(spark, sf):
-    return TK.next_verb_distance(_nested_dist(spark, sf)).select(
+    return TT.head_pairs(_long(spark, sf)).select(
         "doc_id", "head", "head_i", "ccomp_i", "ccomp_dist", "v2", "v2_i", "v2_dist")
 
 
 def mark_heads(spark, sf):
-    return TK.next_verb_distance(_nested_dist(spark, sf), with_text=True, last_per_lemma=True).select(
+    return TT.marked_heads(_long(spark, sf), last_per_lemma=True).select(
         "doc_id", "head", "head_i", "ccomp_i", "v2_i", "text_norm")
 
 
@@ -382,7 +395,7 @@ def clean_labels(spark, sf):
 
 
 def strip_dep_tags(spark, sf):
-    n = _nested(spark, sf).select("doc_id", TK.dep_text().alias("dependencies"))
+    n = _texts(spark, sf, dependencies=TT.dep_piece())
     return n.select("doc_id", TX.strip_dep_tags("dependencies").alias("text"))
 
 
@@ -396,7 +409,7 @@ def explode_verbs(spark, sf):
 
 
 def explode_heads(spark, sf):
-    return TK.ccomp_heads(_nested_dist(spark, sf)).select("doc_id", F.col("head_lemma").alias("verb")).distinct()
+    return TT.explode_heads(_long(spark, sf))
 
 
 def head_rows(spark, sf):
@@ -474,6 +487,7 @@ QUERIES = {
     "detail_text": detail_text,
     "has_ccomp": has_ccomp,
     "process_batch": process_batch,
+    "process_batch_corpus": process_batch_corpus,
     "pos_pairs": pos_pairs,
     "verb_runs": verb_runs,
     "ccomp_heads": ccomp_heads,

@@ -23,6 +23,12 @@ def _tok(body: str) -> str:
     return f"{TOK}{body}"
 
 
+def _every(sql: str, **empty) -> str:
+    """A per-document statement with the documents that have no token: their values are those of ``empty``."""
+    cols = ", ".join(f"coalesce(x.{c}, {v}) AS {c}" for c, v in empty.items())
+    return f"SELECT d.doc_id, {cols} FROM documents d LEFT JOIN ({sql}) x ON x.doc_id = d.doc_id"
+
+
 def _fold_lower(x: str) -> str:
     return f"lower({fold(x)})"
 
@@ -68,12 +74,12 @@ dist AS (
   SELECT p.*,
     (SELECT min(t.i) FROM tok t WHERE t.doc_id = p.doc_id AND t.i > p.head_i AND t.tag IN ({sql_list(VERB_TAGS)})) AS v2_i,
     (SELECT count(*) FROM tok t WHERE t.doc_id = p.doc_id AND t.i > p.head_i AND t.i < p.ccomp_i
-        AND NOT t.is_punct) AS ccomp_dist
+        AND t.tag <> 'PUNCT') AS ccomp_dist
   FROM pairs p),
 dist2 AS (
   SELECT d.*, v.text AS v2,
     CASE WHEN d.v2_i IS NOT NULL THEN (SELECT count(*) FROM tok t WHERE t.doc_id = d.doc_id AND t.i > d.head_i
-        AND t.i < d.v2_i AND NOT t.is_punct) END AS v2_dist
+        AND t.i < d.v2_i AND t.tag <> 'PUNCT') END AS v2_dist
   FROM dist d LEFT JOIN tok v ON v.doc_id = d.doc_id AND v.i = d.v2_i)"""
 
 
@@ -257,23 +263,23 @@ JOIN {VERBS.replace('AS verbs(', 'AS v(')} ON v.verb = t.lemma WHERE t.is_target
     "top_tokens": _tok("""
 SELECT lower(text) AS word, count(*) AS n FROM tok WHERE NOT is_punct GROUP BY 1 ORDER BY n DESC, word LIMIT 20"""),
 
-    "target_verbs": _tok("\n" + TARGETS),
+    "target_verbs": _every(_tok("\n" + TARGETS), verbs="NULL"),
 
     "multi_verb": _tok(",\ntv AS (" + TARGETS + ")\nSELECT doc_id, verbs FROM tv WHERE len(string_split(verbs, ', ')) > 1"),
 
     "with_target_verbs": _tok("\nSELECT DISTINCT doc_id FROM tok WHERE is_target"),
 
-    "mark_text": _tok(f"\nSELECT doc_id, coalesce(string_agg({_mark_piece('twitter')}, '' ORDER BY i), '') AS normalized "
-                      f"FROM tok GROUP BY doc_id"),
-    "mark_text_corpus": _tok(f"\nSELECT doc_id, coalesce(string_agg({_mark_piece('corpus')}, '' ORDER BY i), '') "
-                             f"AS normalized FROM tok GROUP BY doc_id"),
-    "mark_text_variants": _tok(f"\nSELECT doc_id, coalesce(string_agg({_mark_piece('variants')}, '' ORDER BY i), '') "
-                               f"AS normalized FROM tok GROUP BY doc_id"),
+    "mark_text": _every(_tok(f"\nSELECT doc_id, coalesce(string_agg({_mark_piece('twitter')}, '' ORDER BY i), '') AS normalized "
+                      f"FROM tok GROUP BY doc_id"), normalized="''"),
+    "mark_text_corpus": _every(_tok(f"\nSELECT doc_id, coalesce(string_agg({_mark_piece('corpus')}, '' ORDER BY i), '') AS normalized "
+                      f"FROM tok GROUP BY doc_id"), normalized="''"),
+    "mark_text_variants": _every(_tok(f"\nSELECT doc_id, coalesce(string_agg({_mark_piece('variants')}, '' ORDER BY i), '') AS normalized "
+                      f"FROM tok GROUP BY doc_id"), normalized="''"),
 
-    "dep_text": _tok(f"\nSELECT doc_id, {DEP_TEXT} AS dependencies FROM tok GROUP BY doc_id"),
-    "pos_text": _tok(f"\nSELECT doc_id, {POS_TEXT} AS pos FROM tok GROUP BY doc_id"),
-    "detail_text": _tok(f"\nSELECT doc_id, {DETAIL_TEXT} AS details FROM tok GROUP BY doc_id"),
-    "has_ccomp": _tok("\nSELECT doc_id, bool_or(dep = 'ccomp') AS has_ccomp FROM tok GROUP BY doc_id"),
+    "dep_text": _every(_tok(f"\nSELECT doc_id, {DEP_TEXT} AS dependencies FROM tok GROUP BY doc_id"), dependencies="''"),
+    "pos_text": _every(_tok(f"\nSELECT doc_id, {POS_TEXT} AS pos FROM tok GROUP BY doc_id"), pos="''"),
+    "detail_text": _every(_tok(f"\nSELECT doc_id, {DETAIL_TEXT} AS details FROM tok GROUP BY doc_id"), details="''"),
+    "has_ccomp": _every(_tok("\nSELECT doc_id, bool_or(dep = 'ccomp') AS has_ccomp FROM tok GROUP BY doc_id"), has_ccomp="false"),
 
     "process_batch": _tok(f""",
 agg AS (
@@ -285,6 +291,13 @@ agg AS (
   FROM tok GROUP BY doc_id HAVING bool_or(is_target))
 SELECT agg.*, d.text AS text_orig FROM agg LEFT JOIN documents d ON d.doc_id = agg.doc_id"""),
 
+    "process_batch_corpus": _tok(f"""
+SELECT doc_id, array_to_string(list_sort(list_distinct(list(lemma) FILTER (WHERE is_target))), ', ') AS verbs,
+       coalesce(string_agg({_mark_piece('corpus')}, '' ORDER BY i), '') AS normalized, bool_or(dep = 'ccomp') AS has_ccomp,
+       {DEP_TEXT} AS dependencies, coalesce(string_agg(text || '(' || upper(pos) || ')', ' ' ORDER BY i) FILTER (pos <> 'PUNCT'), '') AS pos,
+       {DETAIL_TEXT} AS details
+FROM tok GROUP BY doc_id HAVING bool_or(is_target)"""),
+
     "pos_pairs": _tok(f""",
 pt AS (SELECT doc_id, {POS_TEXT} AS pos FROM tok GROUP BY doc_id),
 pc AS (SELECT doc_id, unnest(list_transform(regexp_split_to_array(trim(pos), '[ \\t\\n\\r\\f]+'),
@@ -351,15 +364,15 @@ UNION ALL SELECT 'nation', 2 * count(*), count(DISTINCT n_nationkey) FROM nation
     "clean_labels": _tok(",\ntv AS (" + TARGETS + f")\nSELECT doc_id, regexp_replace(verbs, '[^{W}]+', '', 'g') AS label "
                          "FROM tv WHERE verbs IS NOT NULL"),
 
-    "strip_dep_tags": _tok(f",\ndt AS (SELECT doc_id, {DEP_TEXT} AS d FROM tok GROUP BY doc_id)\n"
-                           f"SELECT doc_id, regexp_replace(d, '\\[[{W}]+\\]', '', 'g') AS text FROM dt"),
+    "strip_dep_tags": _every(_tok(f",\ndt AS (SELECT doc_id, {DEP_TEXT} AS d FROM tok GROUP BY doc_id)\n"
+                           f"SELECT doc_id, regexp_replace(d, '\\[[{W}]+\\]', '', 'g') AS text FROM dt"), text="''"),
 
     "highlight": f"""
 SELECT doc_id, array_to_string(list_transform(regexp_extract_all(lower(text), '[{W}]+|[^{W}]+'),
        lambda p: CASE WHEN regexp_full_match(p, 'que|q|the') THEN '<<' || p || '>>' ELSE p END), '') AS text
 FROM documents""",
 
-    "explode_verbs": _tok(",\nd AS (SELECT DISTINCT doc_id FROM tok), v AS (SELECT DISTINCT doc_id, lemma FROM tok WHERE is_target)\n"
+    "explode_verbs": _tok(",\nd AS (SELECT DISTINCT doc_id FROM documents), v AS (SELECT DISTINCT doc_id, lemma FROM tok WHERE is_target)\n"
                           "SELECT d.doc_id, v.lemma AS verb FROM d LEFT JOIN v ON v.doc_id = d.doc_id"),
 
     "explode_heads": _tok(PAIRS + "\nSELECT DISTINCT doc_id, head_lemma AS verb FROM pairs"),

@@ -19,12 +19,12 @@ from ..operators import filters as FL
 from ..operators import joins as JN
 from ..operators import sequence as SQ
 from ..operators import setops as SE
-from ..operators import tokens as TK
+from ..operators import token_texts as TT
 from ..session import shared_dir
 from ..sources import readers as RD
 from .bindings import verbs_frame
-from .catalog import _doc_verbs, _events_with_nulls, _long, _nested, _pulls, _t
-from .oracle import DEP_TEXT, DETAIL_TEXT, ORACLE as _MAIN, PAIRS, TARGETS, VERBS, _tok
+from .catalog import _doc_verbs, _events_with_nulls, _long, _pulls, _t, _texts
+from .oracle import DEP_TEXT, DETAIL_TEXT, ORACLE as _MAIN, PAIRS, TARGETS, VERBS, _every, _tok
 from .oracle import _events_with_nulls as _events_sql
 from .sqltext import W, token_set_list
 
@@ -36,7 +36,7 @@ def drop_null_text(spark, sf):
 
 
 def dependency_in_text(spark, sf):
-    n = _nested(spark, sf).select("doc_id", TK.dep_text().alias("dependencies"))
+    n = _texts(spark, sf, dependencies=TT.dep_piece())
     return n.select("doc_id", FL.has_dependency("dependencies").alias("has_dep"))
 
 
@@ -95,16 +95,15 @@ def merge_tables_first(spark, sf):
 
 
 def pos_text_corpus(spark, sf):
-    return _nested(spark, sf, ("i", "text", "pos")).select("doc_id", TK.pos_text(drop_punct=True).alias("pos"))
+    return _texts(spark, sf, pos=TT.pos_piece(drop_punct=True))
 
 
 def token_details(spark, sf):
-    t = TK.token_long(_nested(spark, sf, ("i", "text", "pos", "dep")))
-    return t.select("doc_id", "i", F.col("text").alias("w"), "pos", "dep")
+    return TT.token_details(_long(spark, sf)).select("doc_id", "i", F.col("text").alias("w"), "pos", "dep")
 
 
 def distance_table(spark, sf):
-    t = TK.distance_table(TK.nest_tokens(_long(spark, sf)))
+    t = TT.distance_table(_long(spark, sf))
     return t.select("doc_id", "verbs", "head", "head_i", "ccomp_i", "ccomp_dist", "v2", "v2_dist",
                     F.md5("dependencies").alias("dependencies_md5"), F.md5("details").alias("details_md5"))
 
@@ -184,7 +183,7 @@ FROM customer WHERE c_custkey % 10 IN (3, 4)""",
 SELECT source, count(*) AS original, count(*) - count(DISTINCT text) AS dups FROM documents GROUP BY source
 UNION ALL SELECT 'all folders', count(*), count(*) - count(DISTINCT text) FROM documents""",
     "drop_null_text": f"SELECT event_id FROM ({_events_sql()}) WHERE props IS NOT NULL",
-    "dependency_in_text": _tok(f"\nSELECT doc_id, contains({DEP_TEXT}, 'ccomp') AS has_dep FROM tok GROUP BY doc_id"),
+    "dependency_in_text": _every(_tok(f"\nSELECT doc_id, contains({DEP_TEXT}, 'ccomp') AS has_dep FROM tok GROUP BY doc_id"), has_dep="false"),
     "filter_known_verbs": _tok(f"""
 SELECT CASE WHEN verb IN (SELECT verb FROM {_V}) THEN 'known' ELSE 'unknown' END AS part, verb, count(*) AS n
 FROM (SELECT regexp_replace(lemma, '[^{W}]+', '', 'g') AS verb FROM tok WHERE pos = 'VERB') x GROUP BY 1, 2"""),
@@ -206,9 +205,9 @@ WITH u AS (SELECT doc_id, text FROM documents UNION ALL
            SELECT doc_id + 1000000, text FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))
 SELECT 'documents' AS table_name, min(doc_id) AS id FROM u GROUP BY text
 UNION ALL SELECT 'customer', min(c_custkey) FROM customer GROUP BY c_nationkey""",
-    "pos_text_corpus": _tok("""
+    "pos_text_corpus": _every(_tok("""
 SELECT doc_id, coalesce(string_agg(text || '(' || upper(pos) || ')', ' ' ORDER BY i) FILTER (pos <> 'PUNCT'), '') AS pos
-FROM tok GROUP BY doc_id"""),
+FROM tok GROUP BY doc_id"""), pos="''"),
     "token_details": _tok("\nSELECT doc_id, i, text AS w, pos, dep FROM tok"),
     "distance_table": _tok(PAIRS + f""",
 tv AS ({TARGETS}),

@@ -69,9 +69,8 @@ def lexicon_values() -> str:
 def token_ctes(docs_sql: str, verbs_sql: str) -> str:
     """CTEs ``tok`` (long tokens with every field of the default annotator).
 
-    Written independently of the Spark plan: the head is the largest earlier VERB index
-    (a max over a preceding frame), its dimension flag comes from a self-join on
-    (doc_id, head), and ``c``/``vc`` are running sums.
+    Written from the rules over whole documents: the head is the largest earlier VERB index, its dimension
+    flag the last one seen before, and ``c``/``vc`` are running sums.
     """
     punct1 = "([^" + W + S + "])"
     return f"""
@@ -94,17 +93,15 @@ _t2 AS (
          EXISTS (SELECT 1 FROM _vd WHERE _vd.verb = t.lemma) AS in_dim
   FROM _t1 t),
 _t3 AS (
-  SELECT *, max(CASE WHEN pos = 'VERB' THEN i END) OVER (PARTITION BY doc_id ORDER BY i
-              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_v,
-         CAST(sum(CASE WHEN is_punct THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS c,
-         CAST(sum(CASE WHEN tag IN ({sql_list(VERB_TAGS)}) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i
-              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS vc
-  FROM _t2),
+  SELECT *, max(CASE WHEN pos = 'VERB' THEN i END) OVER earlier AS prev_v,
+         last_value(CASE WHEN pos = 'VERB' THEN in_dim END IGNORE NULLS) OVER earlier AS prev_dim,
+         CAST(sum(CASE WHEN tag <> 'PUNCT' THEN 1 ELSE 0 END) OVER so_far AS INTEGER) AS c,
+         CAST(sum(CASE WHEN tag IN ({sql_list(VERB_TAGS)}) THEN 1 ELSE 0 END) OVER so_far AS INTEGER) AS vc
+  FROM _t2 WINDOW earlier AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                  so_far AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 tok AS (
-  SELECT a.doc_id, a.i, a.text, a.lemma, a.pos, a.tag,
-         CASE WHEN a.pos = 'VERB' AND coalesce(h.in_dim, false) THEN 'ccomp' ELSE 'dep' END AS dep,
-         CAST(coalesce(a.prev_v, a.i) AS INTEGER) AS head, a.is_stop, a.is_punct, a.in_dim,
-         a.pos = 'VERB' AND a.in_dim AS is_target, a.c, a.vc
-  FROM _t3 a LEFT JOIN _t3 h ON h.doc_id = a.doc_id AND h.i = a.prev_v)
+  SELECT doc_id, i, text, lemma, pos, tag, CASE WHEN pos = 'VERB' AND coalesce(prev_dim, false) THEN 'ccomp' ELSE 'dep' END AS dep,
+         CAST(coalesce(prev_v, i) AS INTEGER) AS head, is_stop, is_punct, in_dim,
+         pos = 'VERB' AND in_dim AS is_target, c, vc
+  FROM _t3)
 """
