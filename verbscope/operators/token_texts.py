@@ -80,16 +80,13 @@ def document_texts(long: DataFrame, pieces: Pieces, id_col: str = "doc_id", docs
     if only_targets:
         found = F.max("is_target").over(Window.partitionBy(*keys))
         long = long.withColumn("_found", found).where(F.col("_found") | ~F.col("whole") if whole else F.col("_found"))
-    aggs = []
-    if names:
-        strings = long.select(*keys, "i", *[p.alias(n) for n, (p, _) in pieces.items()], "is_target", "lemma", "dep")
-        aggs.append(F.array_sort(F.collect_list(F.struct("i", *names))).alias("_t"))
-    else:
-        strings = long
+    strings = long.select(*keys, "i", *[p.alias(n) for n, (p, _) in pieces.items()],
+                          F.when(F.col("is_target"), F.col("lemma")).alias("_target"), (F.col("dep") == "ccomp").alias("_ccomp"))
+    aggs = [F.array_sort(F.collect_list(F.struct("i", *names))).alias("_t")] if names else []
     if verbs or only_targets:
-        aggs.append(F.collect_set(F.when(F.col("is_target"), F.col("lemma"))).alias("_verbs"))
+        aggs.append(F.collect_set("_target").alias("_verbs"))
     if ccomp:
-        aggs.append(F.max(F.col("dep") == "ccomp").alias(ccomp))
+        aggs.append(F.max("_ccomp").alias(ccomp))
     parts = strings.groupBy(*keys).agg(*aggs)
     parts = parts.select(*keys, *[_joined("_t", n, pieces[n][1]).alias(n) for n in names],
                          *(["_verbs"] if verbs or only_targets else []), *([ccomp] if ccomp else []))
@@ -215,10 +212,11 @@ def marked_heads(long: DataFrame, id_col: str = "doc_id", last_per_lemma: bool =
     pairs, keys, names = head_pairs(long, id_col, last_per_lemma), _keys(long, id_col), list(more or {})
     t = F.col("text")
     plain = F.when(F.col("tag") == "PUNCT", t).when(_is_word_in(t, QUE_VARIANTS), F.upper(t)).otherwise(F.lower(t))
-    base = long.select(*keys, "i", plain.alias("_plain"), *[p.alias(n) for n, (p, _) in (more or {}).items()], "is_target", "lemma")
+    base = long.select(*keys, "i", plain.alias("_plain"), *[p.alias(n) for n, (p, _) in (more or {}).items()],
+                       F.when(F.col("is_target"), F.col("lemma")).alias("_target"))
     aggs = [F.array_sort(F.collect_list(F.struct("i", "_plain", *names))).alias("_t")]
     if more is not None:
-        aggs.append(F.collect_set(F.when(F.col("is_target"), F.col("lemma"))).alias("_verbs"))
+        aggs.append(F.collect_set("_target").alias("_verbs"))
     base = base.groupBy(*keys).agg(*aggs)
 
     def marked(pairs: DataFrame, base: DataFrame, on: list[str]) -> DataFrame:
