@@ -37,7 +37,9 @@ def test_stream_page_batches_carries_state(spark, tmp_path):
     q = (ST.stream_page_batches(stream, "topic", "page", "n", 200).writeStream.format("memory")
          .queryName("pb2").outputMode("append").option("checkpointLocation", str(tmp_path / "ck2")).start())
     q.processAllAvailable()
-    spark.createDataFrame([("a", 3, 90), ("a", 4, 99)], PAGE_SCHEMA).write.parquet(str(src / "part2"))
+    # written elsewhere in one file and moved in whole, so that no micro-batch sees page 4 before page 3
+    spark.createDataFrame([("a", 3, 90), ("a", 4, 99)], PAGE_SCHEMA).coalesce(1).write.parquet(str(tmp_path / "held"))
+    (tmp_path / "held").rename(src / "part2")
     q.processAllAvailable()
     q.stop()
     got = rows(spark.sql("SELECT * FROM pb2"), "page", "batch")
@@ -107,3 +109,51 @@ def test_skip_processed(spark):
     files = spark.createDataFrame([("a.csv", 1), ("b.csv", 2)], "path string, x int")
     done = spark.createDataFrame([("a.csv",)], "path string")
     assert rows(ST.skip_processed(files, "path", done), "path") == [("b.csv",)]
+
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def test_stream_page_batches_any_arrival_inside_the_watermark(spark, tmp_path):
+    """Pages come in four micro-batches, out of order by less than the watermark's delay; null topic, page and row count."""
+    import os
+    import random
+    rng = random.Random(3)
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(t, p, rng.choice([None, 30, 60, 95, 120]), t0 + dt.timedelta(minutes=p)) for t in ("a", "b", None) for p in range(1, 25)]
+    data.append(("a", None, 10, t0 + dt.timedelta(minutes=25)))
+    data.append(("a", 2**60 + 1, 10, t0 + dt.timedelta(minutes=24, seconds=30)))
+    arrival = sorted(data, key=lambda r: r[3] + dt.timedelta(minutes=rng.uniform(0, 9)))
+    parts = [arrival[k::4] if k < 0 else arrival[len(arrival) * k // 4 : len(arrival) * (k + 1) // 4] for k in range(4)]
+    parts.append([("z", 1, 0, t0 + dt.timedelta(hours=5))])  # moves the watermark past all pages
+    schema = PAGE_SCHEMA + ", made timestamp"
+    src, held = tmp_path / "late", tmp_path / "held"
+    src.mkdir()
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    try:
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(str(src))
+        made = ST.stream_page_batches(stream, "topic", "page", "n", 200, num_batches=5, event_time="made", delay="10 minutes")
+        for k, part in enumerate(parts):
+            spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(held / str(k)))
+            os.rename(held / str(k), src / str(k))  # files appear whole
+            q = (made.writeStream.format("memory" if k < 0 else "parquet").option("path", str(tmp_path / "out")).outputMode("append")
+                 .option("checkpointLocation", str(tmp_path / "ck-late")).trigger(availableNow=True).start())
+            q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    got = rows(spark.read.parquet(str(tmp_path / "out")), "topic", "page", "batch")
+    batch = SQ.page_batches(spark.createDataFrame(data, schema), "topic", "page", "n", 200, num_batches=5)
+    # a page number far above the others is later than they are, the page without one comes last
+    want = rows(batch, "topic", "page", "batch")
+    assert [r for r in got if r[0] != "z"] == want
+
+
+def test_stream_page_batches_null_pages(spark, tmp_path):
+    data = [("a", 2**60 + 1, 10), ("a", None, 50), ("a", 1, None), (None, 1, 300), (None, 2, 5)]
+    src = str(tmp_path / "nulls")
+    spark.createDataFrame(data, PAGE_SCHEMA).coalesce(1).write.parquet(src)
+    stream = spark.readStream.schema(PAGE_SCHEMA).parquet(src)
+    _drain(ST.stream_page_batches(stream, "topic", "page", "n", 20), "pbn", tmp_path)
+    got = rows(spark.sql("SELECT * FROM pbn"), "topic", "page", "batch")
+    assert got == rows(SQ.page_batches(spark.createDataFrame(data, PAGE_SCHEMA), "topic", "page", "n", 20), "topic", "page", "batch")

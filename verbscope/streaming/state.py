@@ -7,13 +7,18 @@ old one stays readable until the new one is complete).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.joins import anti_join
+from ..operators.names import quoted
 from ..operators.setops import id_union
 
 
@@ -104,42 +109,103 @@ def registry_duplicates(rows: DataFrame, file_col: str, id_col: str, registry: D
 # ---------------------------------------------------------------------------
 # K3 streaming page batches
 # ---------------------------------------------------------------------------
+def _fill(pages, batch: int, fill: int, batch_size: int, num_batches: int | None):
+    """Greedy fill over (page, rows) in order: the (page, batch) that are kept, and the state left."""
+    out = []
+    for page, n in pages:
+        if num_batches is None or batch <= num_batches:
+            out.append((page, batch))
+        fill += n
+        if fill >= batch_size:
+            batch, fill = batch + 1, 0
+    return out, batch, fill
+
+
+def _in_page_order(pages):
+    """Pages by number, a page without one last (as in F7)."""
+    return sorted(pages, key=lambda p: (p[0] is None, p[0] or 0))
+
+
+class _PageBatches(StatefulProcessor):
+    """Per topic: the open batch and its rows, and the pages that wait for the watermark to pass them."""
+
+    def __init__(self, topic: str, page: str, rows: str, time: str, batch_size: int, num_batches: int | None):
+        self.names = (topic, page, rows, time)
+        self.batch_size, self.num_batches = batch_size, num_batches
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "batch long, fill long")
+        self.waiting = handle.getListState("waiting", "at long, page long, n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        _, page, n, time = self.names
+        now = timerValues.getCurrentWatermarkInMs()
+        for pdf in rows:
+            at = pdf[time].astype("datetime64[ms]").astype("int64")
+            new = [(int(t), None if pd.isna(p) else int(p), 0 if pd.isna(x) else int(x))
+                   for t, p, x in zip(at, pdf[page].astype(object), pdf[n].astype(object))]
+            self.waiting.appendList(new)
+            # Spark has dropped rows behind the watermark already; a timer must lie ahead of it
+            for t in {max(t, now + 1) for t, _, _ in new}:
+                self.handle.registerTimer(t)
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        topic, page, _, _ = self.names
+        due, held = [], []
+        for at, p, n in self.waiting.get():
+            (due if at <= expiredTimerInfo.getExpiryTimeInMs() else held).append((at, p, n))
+        if not due:
+            return
+        batch, fill = self.open.get() if self.open.exists() else (1, 0)
+        out, batch, fill = _fill(_in_page_order([(p, n) for _, p, n in due]), batch, fill, self.batch_size, self.num_batches)
+        self.open.update((batch, fill))
+        if held:
+            self.waiting.put(held)
+        else:
+            self.waiting.clear()
+        if out:
+            yield pd.DataFrame({topic: [key[0]] * len(out), page: pd.array([p for p, _ in out], "Int64"), "batch": [b for _, b in out]})
+
+    def close(self) -> None:
+        pass
+
+
 def stream_page_batches(pages: DataFrame, topic: str, page: str, rows: str, batch_size: int,
-                        num_batches: int | None = None) -> DataFrame:
-    """K3: the greedy batch fill of F7 over a stream of pages, keyed by topic.
+                        num_batches: int | None = None, event_time: str | None = None, delay: str = "10 minutes") -> DataFrame:
+    """K3: the greedy batch fill of F7 over a stream of pages, keyed by topic. Output: topic, page, batch.
+
+    With ``event_time`` (when a page was made; later pages of a topic are not earlier), pages wait in state until the
+    watermark, ``delay`` behind the newest page of the stream, has passed them, and are then taken in page
+    order: whatever order pages arrive in, the batches are those of F7 as long as none is late by
+    more than ``delay`` (later ones are dropped as late data, which Spark counts). Waiting pages are bounded by
+    the delay. Needs the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``).
 
-    State per topic: (batch number, rows in the open batch). Pages are taken in page
-    order inside a micro-batch; a page arriving in a later micro-batch than a higher
-    page of its topic is still appended after it (arrival order across micro-batches
-    is the order), which differs from the batch form. Output: topic, page, batch.
+    Without it, arrival decides: pages are in order inside a micro-batch, and one that arrives after a higher
+    page of its topic is appended. A null page comes last, a null row count is 0; a null topic is a topic.
     """
     b = int(batch_size)
     tt = pages.schema[topic].dataType.simpleString()
+    if event_time is not None:
+        out = T.StructType([T.StructField(topic, pages.schema[topic].dataType)]).add(page, "long").add("batch", "long")
+        timed = pages.withColumn(event_time, quoted(event_time).cast("timestamp")).withWatermark(event_time, delay)
+        return timed.groupBy(quoted(topic)).transformWithStateInPandas(
+            _PageBatches(topic, page, rows, event_time, b, num_batches), out, "append", "EventTime")
 
     def fn(key, pdfs, state):
-        if state.exists:
-            batch, fill = state.get
-        else:
-            batch, fill = 1, 0
-        out_t, out_p, out_b = [], [], []
+        batch, fill = state.get if state.exists else (1, 0)
         # Arrow cuts a topic's pages of a micro-batch into chunks anywhere: gather, then sort once
-        own = pd.concat([pdf[[page, rows]] for pdf in pdfs]).sort_values(page, kind="stable")
-        for pg, n in zip(own[page].to_numpy(), own[rows].fillna(0).to_numpy()):
-            if num_batches is None or batch <= num_batches:
-                out_t.append(key[0])
-                out_p.append(int(pg))
-                out_b.append(batch)
-            fill += int(n)  # a null row count is 0, as in F7
-            if fill >= b:
-                batch += 1
-                fill = 0
+        own = [(None if pd.isna(p) else int(p), 0 if pd.isna(n) else int(n)) for pdf in pdfs for p, n in zip(pdf["_page"], pdf["_n"])]
+        out, batch, fill = _fill(_in_page_order(own), batch, fill, b, num_batches)
         state.update((batch, fill))
-        yield pd.DataFrame({topic: out_t, page: np.array(out_p, dtype=np.int64),
-                            "batch": np.array(out_b, dtype=np.int64)})
+        yield pd.DataFrame({topic: [key[0]] * len(out), page: pd.array([p for p, _ in out], "Int64"),
+                            "batch": np.array([k for _, k in out], dtype=np.int64)})
 
-    return pages.groupBy(topic).applyInPandasWithState(
-        fn, f"{topic} {tt}, {page} long, batch long", "batch long, fill long", "append",
-        GroupStateTimeout.NoTimeout)
+    # numbers travel as text: a null would turn a column of longs into floats, and large ones would lose digits
+    sent = pages.select(quoted(topic), quoted(page).cast("string").alias("_page"), quoted(rows).cast("string").alias("_n"))
+    return sent.groupBy(quoted(topic)).applyInPandasWithState(
+        fn, f"`{topic}` {tt}, `{page}` long, batch long", "batch long, fill long", "append", GroupStateTimeout.NoTimeout)
 
 
 # ---------------------------------------------------------------------------
