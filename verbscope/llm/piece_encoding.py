@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from verbscope.llm.memo import Memo
 SPACE = "▁"  # what SentencePiece writes for a blank
 #: Parts up to this many characters are worth remembering; longer ones rarely come back.
 MEMO_CHARS = 32
+#: Bytes of one generation of the memo (a worker holds two at most).
+MEMO_BYTES = 160 << 20
 
 
 def default_pieces() -> str:
@@ -57,13 +60,14 @@ class PieceTable:
         self.rank = {piece: -sp.get_score(k) for piece, k in self.ids.items()}  # lower merges first
         self.automaton = ahocorasick.Automaton()
         for piece in self.ids:
-            self.automaton.add_word(piece, piece)
+            self.automaton.add_word(piece, (piece, len(piece)))
         self.automaton.make_automaton()
         apart = not any(SPACE in piece.lstrip(SPACE) or ("\n" in piece and len(piece) > 1) for piece in self.ids)
         self.parts = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+" if apart else "(?s).+").findall
         self.merges: dict[str, tuple | None] = {}
         self.follows: dict[tuple[str, str], bool] = {}
-        self.known = Memo(self.part_ids)
+        self.known = Memo(self.part_ids, MEMO_BYTES)
+        self.decimal = list(map(str, every))
 
     def merges_of(self, token: str) -> tuple | None:
         """How a token's characters merge when it stands alone: (rank, first symbol, last symbol)
@@ -103,26 +107,31 @@ class PieceTable:
             else:
                 j += 1
 
+    def tested(self, pair: tuple[str, str]) -> bool:
+        if len(self.follows) >= 500_000:  # pairs of vocabulary entries; forgotten ones are tested again
+            self.follows.clear()
+        fits = self.follows[pair] = self.compatible(*pair)
+        return fits
+
     def part_tokens(self, part: str) -> list[str]:
         """Tokens of a part, by the table of last tokens. A position that no piece fits is a
         character of its own."""
         last: list[str | None] = [None] * (len(part) + 1)
-        follows = self.follows
-        for end, piece in self.automaton.iter(part):
-            if last[end + 1] is not None:
+        known = self.follows.get
+        for end, (piece, size) in self.automaton.iter(part):
+            end += 1
+            if last[end] is not None:
                 continue
-            start = end + 1 - len(piece)
-            if not start:
-                fits = self.merges_of(piece) is not None
-            else:
+            start = end - size
+            if start:
                 pair = (last[start] or part[start - 1], piece)
-                fits = follows.get(pair)
+                fits = known(pair)
                 if fits is None:
-                    if len(follows) >= 500_000:  # pairs of vocabulary entries; forgotten ones are tested again
-                        follows.clear()
-                    fits = follows[pair] = self.compatible(*pair)
+                    fits = self.tested(pair)
+            else:
+                fits = self.merges_of(piece) is not None
             if fits:
-                last[end + 1] = piece
+                last[end] = piece
         tokens, at = [], len(part)
         while at:
             tokens.append(last[at] or part[at - 1])
@@ -131,14 +140,12 @@ class PieceTable:
 
     def part_ids(self, part: str) -> bytes:
         """Ids of a part as little-endian unsigned 32-bit bytes; unknown characters by their bytes."""
-        out: list[int] = []
-        for token in self.part_tokens(part):
-            known = self.ids.get(token)
-            if known is None:
-                out.extend(self.bytes[b] for b in token.encode())
-            else:
-                out.append(known)
-        return np.array(out, "<u4").tobytes()
+        tokens = self.part_tokens(part)
+        try:
+            out = [self.ids[t] for t in tokens]
+        except KeyError:
+            out = [k for t in tokens for k in ((self.ids[t],) if t in self.ids else (self.bytes[b] for b in t.encode()))]
+        return struct.pack(f"<{len(out)}I", *out)
 
     def encode(self, text: str) -> bytes:
         known, whole = self.known, self.part_ids
@@ -175,13 +182,15 @@ def decode_pieces(df: DataFrame, ids_col: str = "piece_ids", out: str = "decoded
     return without(df, out).withColumn(out, decode(quoted(ids_col)))
 
 
-def ids_digest(ids_col: str = "piece_ids"):
+def ids_digest(ids_col: str = "piece_ids", model_path: str | None = None):
     """SHA-256 (lowercase hex) of the decimal ids, joined by commas."""
+    path = model_path or default_pieces()
 
     @F.arrow_udf("string")
     def digest(ids: pa.Array) -> pa.Array:
         import hashlib
-        return pa.array([hashlib.sha256(",".join(map(str, np.frombuffer(k.as_py(), "<u4").tolist())).encode()).hexdigest()
+        written = piece_table(path).decimal.__getitem__
+        return pa.array([hashlib.sha256(",".join(map(written, np.frombuffer(k.as_py(), "<u4").tolist())).encode()).hexdigest()
                          for k in ids], pa.string())
 
     return digest(quoted(ids_col))
