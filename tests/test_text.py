@@ -77,3 +77,13 @@ def test_all_terms(spark):
     got = [r["m"] for r in df.select(T.matches_all_terms("t", [T.word_pattern(["querido"]),
                                                                 T.word_pattern(["asi"])]).alias("m")).collect()]
     assert got == [True, False]
+
+
+def test_fold_by_decomposition(spark):
+    import unicodedata
+    texts = ["qu\u00e9", "que\u0301", "Vi\u1ec7t Nam \u1ebf \u01b0\u1edb", unicodedata.normalize("NFD", "Vi\u1ec7t Nam \u1ebf"), "\uff21\uff11", "\u0218\u021b",
+             "\u0141\u00f3d\u017a", "\u65e5\u672c", "a\u20dd", "\u01c2 \u0434", "plain", "", None, "\u00df\u0153\u2026"]
+    want = ["que", "que", "Viet Nam e uo", "Viet Nam e", "A1", "St", "Lodz", "\u65e5\u672c", "a", "\u01c2 \u0434", "plain", "", None, "ssoe..."]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", T.ascii_fold("t").alias("f"))
+    assert [r["f"] for r in df.orderBy("k").collect()] == want
+    assert T.FOLD_TO.isascii() and len(T.FOLD_FROM) == len(T.FOLD_TO) > 700

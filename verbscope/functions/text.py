@@ -42,31 +42,37 @@ SINGLE_CHAR_EXTRA = (
 )
 
 
-def _latin_fold_table() -> tuple[str, str]:
-    """One-to-one fold table for Latin-1 Supplement and Latin Extended-A letters.
+# Combining marks (blocks), which transliteration drops.
+MARKS = ((0x0300, 0x036F), (0x1AB0, 0x1AFF), (0x1DC0, 0x1DFF), (0x20D0, 0x20FF), (0xFE20, 0xFE2F))
+MARK_CLASS = "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in MARKS) + "]"
 
-    Built by rule: a letter whose canonical decomposition starts with an ASCII letter
-    followed only by combining marks maps to that ASCII letter.
+
+def _is_mark(ch: str) -> bool:
+    return any(a <= ord(ch) <= b for a, b in MARKS)
+
+
+def _fold_table() -> tuple[str, str]:
+    """One-to-one fold table for the Basic Multilingual Plane.
+
+    Built by rule: a character whose decomposition (canonical, or compatibility as for full-width letters), without
+    combining marks, is one ASCII letter or digit, or one of the letters below, is folded to it.
     """
-    src, dst = [], []
+    singles = dict(SINGLE_CHAR_EXTRA)
     multi = {a for a, _ in MULTI_CHAR_FOLDS}
-    for cp in range(0x00C0, 0x0180):
+    table = dict(singles)
+    for cp in range(0x00A0, 0x10000):
         ch = chr(cp)
-        if ch in multi:
+        if ch in multi or ch in table or 0xD800 <= cp <= 0xDFFF:
             continue
-        dec = unicodedata.normalize("NFD", ch)
-        base = dec[0]
-        if len(dec) > 1 and base.isascii() and base.isalpha() and all(
-                unicodedata.combining(m) for m in dec[1:]):
-            src.append(ch)
-            dst.append(base)
-    for a, b in SINGLE_CHAR_EXTRA:
-        src.append(a)
-        dst.append(b)
-    return "".join(src), "".join(dst)
+        base = [c for c in unicodedata.normalize("NFKD", ch) if not _is_mark(c)]
+        if len(base) == 1 and base[0] != ch:
+            to = singles.get(base[0], base[0])
+            if to.isascii() and to.isalnum():
+                table[ch] = to
+    return "".join(table), "".join(table.values())
 
 
-FOLD_FROM, FOLD_TO = _latin_fold_table()
+FOLD_FROM, FOLD_TO = _fold_table()
 
 
 def _c(c) -> Column:
@@ -94,8 +100,9 @@ def strip_emoji(c) -> Column:
 def ascii_fold(c) -> Column:
     """I4: transliterate Latin letters and typographic marks to ASCII.
 
-    Covers Latin-1 Supplement and Latin Extended-A plus the marks in
-    ``MULTI_CHAR_FOLDS``; other scripts are left as they are.
+    Letters fold by their decomposition (``FOLD_FROM``), whether they come composed (``é``), as letter and combining
+    marks, or with several marks (``ế``); marks in ``MULTI_CHAR_FOLDS`` become several characters; other scripts
+    are left as they are. A text that is ASCII already is returned at once.
     """
     col = _c(c)
     out = col
@@ -103,7 +110,8 @@ def ascii_fold(c) -> Column:
         out = F.replace(out, F.lit(a), F.lit(b))
     # one scan decides whether the chain of multi-character replacements is needed
     multi_class = "[" + "".join(a for a, _ in MULTI_CHAR_FOLDS) + "]"
-    return F.translate(F.when(col.rlike(multi_class), out).otherwise(col), FOLD_FROM, FOLD_TO)
+    bare = F.regexp_replace(F.when(col.rlike(multi_class), out).otherwise(col), MARK_CLASS, "")
+    return F.when(F.octet_length(col) == F.char_length(col), col).otherwise(F.translate(bare, FOLD_FROM, FOLD_TO))
 
 
 def normalize_text(c) -> Column:

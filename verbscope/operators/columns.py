@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import FOLD_FROM, FOLD_TO, MULTI_CHAR_FOLDS
+from ..functions.text import FOLD_FROM, FOLD_TO, MULTI_CHAR_FOLDS, _is_mark
+from .names import quoted
 
 
 def rename_columns(df: DataFrame, mapping: dict) -> DataFrame:
@@ -17,7 +18,7 @@ def fold_name(name: str) -> str:
     """ASCII-fold and lower-case one column name (driver side, plan metadata only)."""
     for a, b in MULTI_CHAR_FOLDS:
         name = name.replace(a, b)
-    return name.translate(str.maketrans(FOLD_FROM, FOLD_TO)).lower()
+    return "".join(ch for ch in name if not _is_mark(ch)).translate(str.maketrans(FOLD_FROM, FOLD_TO)).lower()
 
 
 def standardize_columns(df: DataFrame) -> DataFrame:
@@ -27,7 +28,7 @@ def standardize_columns(df: DataFrame) -> DataFrame:
 
 def select_columns(df: DataFrame, cols) -> DataFrame:
     """Configured subset in the configured order."""
-    return df.select(*[F.col(f"`{c}`") for c in cols])
+    return df.select(*[quoted(c) for c in cols])
 
 
 def drop_columns(df: DataFrame, cols) -> DataFrame:
@@ -40,9 +41,9 @@ def combine_columns(df: DataFrame, groups: dict, as_text: bool = False, drop: bo
     out = df
     for name, cols in groups.items():
         if as_text:
-            col = F.concat(F.lit("("), F.concat_ws(", ", *[F.col(c).cast("string") for c in cols]), F.lit(")"))
+            col = F.concat(F.lit("("), F.concat_ws(", ", *[quoted(c).cast("string") for c in cols]), F.lit(")"))
         else:
-            col = F.struct(*[F.col(c) for c in cols])
+            col = F.struct(*[quoted(c).alias(c) for c in cols])
         out = out.withColumn(name, col)
         if drop:
             out = out.drop(*[c for c in cols if c != name])
@@ -61,18 +62,18 @@ def convert_types(df: DataFrame, type_map: dict, date_formats=None) -> DataFrame
         if c not in df.columns:
             continue
         if t == "datetime":
-            src = F.col(c).cast("string")
+            src = quoted(c).cast("string")
             if date_formats is None:
                 from ..functions.text import parse_created_at
                 cols[c] = parse_created_at(src)
             else:
                 cols[c] = F.coalesce(*[F.try_to_timestamp(src, F.lit(f)) for f in fmts])
         elif t == "int":
-            cols[c] = F.col(c).try_cast("bigint")
+            cols[c] = quoted(c).try_cast("bigint")
         elif t == "float":
-            cols[c] = F.col(c).try_cast("double")
+            cols[c] = quoted(c).try_cast("double")
         else:
-            cols[c] = F.col(c).try_cast(t)
+            cols[c] = quoted(c).try_cast(t)
     return df.withColumns(cols)
 
 

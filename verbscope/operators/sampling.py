@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .names import quoted
+
 
 def _order(cols, descending):
     cols = [cols] if isinstance(cols, str) else list(cols)
     if isinstance(descending, bool):
         descending = [descending] * len(cols)
-    return [F.desc(c) if d else F.asc(c) for c, d in zip(cols, descending)]
+    return [quoted(c).desc() if d else quoted(c).asc() for c, d in zip(cols, descending)]
 
 
 def head(df: DataFrame, n: int, order, descending=False) -> DataFrame:
@@ -41,7 +43,7 @@ def row_at(df: DataFrame, position: int, order) -> DataFrame:
 def _hash_key(key, seed: int):
     """First 52 bits of an MD5 of the key columns and the seed."""
     cols = [key] if isinstance(key, str) else list(key)
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols], F.lit(str(seed)))
+    text = F.concat_ws("|", *[quoted(c).cast("string") for c in cols], F.lit(str(seed)))
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
 
 
@@ -54,4 +56,4 @@ def sample_fraction(df: DataFrame, fraction: float, key, seed: int = 1) -> DataF
 def sample_n(df: DataFrame, n: int, key, seed: int = 1) -> DataFrame:
     """Seeded exact ``n`` rows: the ``n`` smallest (hash, key) -- a top-k, no full sort."""
     cols = [key] if isinstance(key, str) else list(key)
-    return (df.withColumn("_h", _hash_key(key, seed)).orderBy("_h", *cols).limit(n).drop("_h"))
+    return (df.withColumn("_h", _hash_key(key, seed)).orderBy("_h", *[quoted(c) for c in cols]).limit(n).drop("_h"))

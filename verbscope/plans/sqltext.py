@@ -7,7 +7,7 @@ Java and Spark, so upper-casing goes through ``ß -> ss`` first.
 
 from __future__ import annotations
 
-from ..functions.text import (EMOJI_CLASS, FOLD_FROM, FOLD_TO, MULTI_CHAR_FOLDS, QUE_WORDS, SPACE,
+from ..functions.text import (EMOJI_CLASS, FOLD_FROM, FOLD_TO, MARK_CLASS, MULTI_CHAR_FOLDS, QUE_WORDS, SPACE,
                               WORD)
 from ..operators.tokens import DEFAULT_LEXICON, VERB_SUFFIX, VERB_TAGS
 
@@ -30,6 +30,7 @@ def fold(expr: str) -> str:
     out = expr
     for a, b in MULTI_CHAR_FOLDS:
         out = f"replace({out}, {q(a)}, {q(b)})"
+    out = f"regexp_replace({out}, {q(MARK_CLASS)}, '', 'g')"
     return f"translate({out}, {q(FOLD_FROM)}, {q(FOLD_TO)})"
 
 
