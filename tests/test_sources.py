@@ -215,3 +215,31 @@ def test_page_meta(spark, tmp_path):
     (p / "a.json").write_text(json.dumps(PAGE) + "\n" + json.dumps(last) + "\n")
     got = rows(R.page_meta(R.read_pages(spark, str(p))), "page_size", "next_token")
     assert got == sorted([(2, "abc"), (0, None)], key=repr)
+
+
+def test_any_list_of_a_page_is_a_table(spark, tmp_path):
+    """Lists that no schema names, lists below nested objects, items that are no objects; meta is kept whole."""
+    import json
+    pages = [{"data": [{"id": "1", "text": "a"}, {"id": "2"}], "includes": {"users": [{"id": "u"}], "media": [{"media_key": "m1", "type": "photo"}, {"media_key": "m2"}],
+              "deep": {"polls": [{"id": 7, "options": [1, 2]}]}}, "meta": {"result_count": 2, "oldest": [1]}, "codes": [3, "x", None], "empty": []},
+             {"data": [{"id": 3}], "title": "no list", "errors": [{"resource_id": "9", "value": "gone"}]}, {}]
+    p = tmp_path / "pages.json"
+    p.write_text("\n".join(map(json.dumps, pages)) + "\nnot json\n")
+    raw = R.read_raw_pages(spark, str(p))
+    assert [r["raw"] for r in raw.where("raw is not null").collect()] == ["not json"]
+    lists = R.page_lists(raw.where("raw is null").drop("raw"))
+    got = {}
+    for r in lists.select("table", "pos", F.to_json("item").alias("j")).collect():
+        got.setdefault(r["table"], []).append((r["pos"], r["j"]))
+    assert {k: len(v) for k, v in got.items()} == {"data": 3, "users": 1, "media": 2, "polls": 1, "codes": 3, "errors": 1}
+    assert rows(R.list_table(lists, "media", "media_key string, type string"), "media_key", "type") == [("m1", "photo"), ("m2", None)]
+    assert rows(R.list_table(lists, "data", "id string, text string"), "id", "text") == [("1", "a"), ("2", None), ("3", None)]
+    assert rows(R.list_table(lists, "polls", "id long, options array<int>"), "id", "options") == [(7, [1, 2])]
+
+
+def test_write_by_verb_is_balanced_by_size(spark, tmp_path):
+    verbs = spark.createDataFrame([("creer", "Epistemic"), ("decir", "stative"), ("ver", "stative")], "verb string, verb_type string")
+    df = spark.createDataFrame([(1, "creer, decir"), (2, "creer"), (3, None), (4, "nope")], "id long, verbs string")
+    K.write_by_verb(df, "verbs", verbs, str(tmp_path / "o"))
+    assert rows(spark.read.parquet(str(tmp_path / "o")), "id", "verb_type", "verb") == [(1, "epistemic", "creer"), (1, "stative", "decir"), (2, "epistemic", "creer")]
+    assert not (tmp_path / "o" / "verb_type=stative" / "verb=ver").exists()

@@ -157,3 +157,27 @@ def test_stream_page_batches_null_pages(spark, tmp_path):
     _drain(ST.stream_page_batches(stream, "topic", "page", "n", 20), "pbn", tmp_path)
     got = rows(spark.sql("SELECT * FROM pbn"), "topic", "page", "batch")
     assert got == rows(SQ.page_batches(spark.createDataFrame(data, PAGE_SCHEMA), "topic", "page", "n", 20), "topic", "page", "batch")
+
+
+def test_new_files_only(spark, tmp_path):
+    src, ck, seen = tmp_path / "in", str(tmp_path / "ck5"), []
+    spark.createDataFrame([(1,), (2,)], "id long").coalesce(1).write.parquet(str(src / "a"))
+
+    def process(batch, run_id):
+        batch.write.mode("overwrite").parquet(str(tmp_path / f"out/run={run_id}"))
+        seen.append((run_id, sorted(r["id"] for r in batch.collect())))
+
+    run = lambda fn=process: ST.process_new_files(spark, str(src), "id long", fn, ck)
+    assert run() == [0] and seen == [(0, [1, 2])]
+    assert run() == [] and len(seen) == 1  # nothing new: nothing read
+    spark.createDataFrame([(3,)], "id long").coalesce(1).write.parquet(str(src / "b"))
+
+    def broken(batch, run_id):
+        raise ValueError("broken")
+
+    try:
+        run(broken)
+    except Exception:
+        pass
+    assert run() == [1] and seen[-1] == (1, [3])  # the failed run's file again, under its id
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "id") == [(1,), (2,), (3,)]

@@ -150,6 +150,60 @@ def explode_pages(pages: DataFrame) -> dict:
     return {"tweets": tweets, "users": users, "places": places, "errors": errors, "meta": meta}
 
 
+def read_raw_pages(spark: SparkSession, path) -> DataFrame:
+    """Saved responses without a schema: ``page`` as ``variant``, one JSON page per line; a line that isn't
+    JSON becomes null and its text stays in ``raw``."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select(F.try_parse_json("value").alias("page"), F.when(F.try_parse_json("value").isNull(), F.col("value")).alias("raw"))
+
+
+# Lists with tables of their own (see ``explode_pages``), and the object that is kept whole.
+KNOWN_LISTS, KEPT_WHOLE = ("data", "users", "places"), ("meta",)
+
+
+def page_lists(pages: DataFrame, page_col: str = "page", depth: int = 8) -> DataFrame:
+    """A4 for pages of any shape: every list of a page, at whatever object it hangs: ``table`` (the list's
+    name), ``pos``, ``item`` (variant), and the other columns of ``pages``.
+
+    The reference walks a response's keys: a list is a table, ``meta`` is kept whole, another object is walked in turn. Here one
+    level is one ``variant_explode``; ``depth`` bounds how far objects may nest (a list below that would be an error, and
+    is raised as one). No schema is needed, so a list that no schema names comes out as a table too.
+    """
+    rest = [c for c in pages.columns if c != page_col]
+    level = pages.select(*[quoted(c) for c in rest], F.lit(None).cast("string").alias("table"), quoted(page_col).alias("_v"))
+    found = None
+    for _ in range(depth):
+        level = _members(level, rest)
+        lists = level.where(F.col("_kind").startswith("ARRAY"))
+        found = lists if found is None else found.union(lists)
+        level = level.where(F.col("_kind").startswith("OBJECT") & ~F.col("table").isin(*KEPT_WHOLE))
+    deeper = _members(level, rest).select(*[quoted(c) for c in rest], "table",
+                                          F.raise_error(F.lit(f"objects nest deeper than {depth}")).cast("variant").alias("_v"), "_kind")
+    return _items(found.union(deeper), rest)
+
+
+def _members(level: DataFrame, rest: list) -> DataFrame:
+    """The members of objects: name, value, kind."""
+    out = level.lateralJoin(level.sparkSession.tvf.variant_explode(F.col("_v").outer())).select(
+        *[quoted(c) for c in rest], F.col("key").alias("table"), F.col("value").alias("_v"))
+    return out.withColumn("_kind", F.schema_of_variant("_v"))
+
+
+def _items(lists: DataFrame, rest: list) -> DataFrame:
+    return lists.lateralJoin(lists.sparkSession.tvf.variant_explode(F.col("_v").outer())).select(
+        *[quoted(c) for c in rest], "table", F.col("pos").cast("long").alias("pos"), F.col("value").alias("item"))
+
+
+def list_table(lists: DataFrame, name: str, schema: T.StructType | str) -> DataFrame:
+    """One list of ``page_lists`` as a table with ``schema``; fields that an item lacks, or that don't fit, are null."""
+    ddl = schema if isinstance(schema, str) else schema.simpleString()
+    ddl = ddl if ddl.startswith("struct<") else f"struct<{ddl}>"
+    rest = [c for c in lists.columns if c not in ("table", "pos", "item")]
+    row = F.try_variant_get("item", "$", ddl)
+    return lists.where(F.col("table") == name).select(*[quoted(c) for c in rest], "pos", row.alias("_r")).select(
+        *[quoted(c) for c in rest], "pos", "_r.*")
+
+
 def page_meta(pages: DataFrame) -> DataFrame:
     """E9 per page: rows in the page (``page_size``) and the continuation token
     (``next_token``, null on the last page)."""

@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import small_side
+from ..operators.joins import left_join
+from ..operators.names import quoted
 from ..operators.sequence import with_batch_id
 from .readers import CSV_SEP
 
@@ -49,23 +50,22 @@ def write_by_type(tables: dict, path: str, fmt: str = "parquet", mode: str = "ov
 def by_verb_rows(df: DataFrame, verbs_col: str, verbs: DataFrame) -> DataFrame:
     """A9 rows: a row repeated once per verb of its ``verbs`` list (text ``"a, b"`` or
     array) that is in the dimension, with the verb's ``verb_type``."""
-    lst = F.split(F.col(verbs_col), ", ") if df.schema[verbs_col].dataType.typeName() == "string" \
-        else F.col(verbs_col)
+    lst = F.split(quoted(verbs_col), ", ") if df.schema[verbs_col].dataType.typeName() == "string" \
+        else quoted(verbs_col)
     e = df.withColumn("verb", F.explode(F.array_distinct(lst)))
     dim = verbs.select("verb", F.lower("verb_type").alias("verb_type"))
-    return e.join(small_side(dim), "verb")
+    return left_join(e, dim, "verb", how="inner")
 
 
 def write_by_verb(df: DataFrame, verbs_col: str, verbs: DataFrame, path: str, fmt: str = "parquet",
-                  mode: str = "overwrite", salt_buckets: int = 8) -> None:
+                  mode: str = "overwrite") -> None:
     """Write every row under ``verb_type=<t>/verb=<v>`` for each of its verbs.
 
-    Frequent verbs dominate; rows are spread over ``salt_buckets`` writer tasks per
-    verb (hash of the row) so one verb never funnels through a single task.
+    ``REBALANCE`` on (type, verb): a verb's rows meet in as few writers as their bytes call for. AQE
+    splits the partition of a frequent verb over as many tasks as it needs and puts rare verbs
+    together, by the sizes of the shuffle; no number of writers is fixed.
     """
-    rows = by_verb_rows(df, verbs_col, verbs)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    rows = rows.repartition("verb_type", "verb", salt)
+    rows = by_verb_rows(df, verbs_col, verbs).hint("rebalance", "verb_type", "verb")
     writer = _writer(rows, mode).partitionBy("verb_type", "verb")
     if fmt == "csv":
         writer.option("sep", CSV_SEP).option("header", True).csv(path)

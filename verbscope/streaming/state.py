@@ -80,12 +80,12 @@ def registry_sink(id_col: str, registry_root: str, out_path: str, run: str, regi
         part = f"run={run}-{batch_id:06d}"
         known = read_registry(spark, registry_root, leave_out=part)
         if registry is not None:
-            known = id_union(known, registry.select(F.col(registry.columns[0]).cast("string").alias("id")))
+            known = id_union(known, registry.select(quoted(registry.columns[0]).cast("string").alias("id")))
         kept, _ = update_registry(batch, id_col, known)
         # per run and batch: a retried batch overwrites its own folder
         kept.write.mode("overwrite").parquet(f"{out_path}/run={run}/batch_id={batch_id}")
         new = spark.read.schema(kept.schema).parquet(f"{out_path}/run={run}/batch_id={batch_id}")
-        (new.select(F.col(id_col).cast("string").alias("id")).where("id is not null").distinct()
+        (new.select(quoted(id_col).cast("string").alias("id")).where("id is not null").distinct()
          .write.mode("overwrite").parquet(f"{registry_root}/{part}"))
     return fn
 
@@ -220,7 +220,24 @@ def stream_dedup(stream: DataFrame, id_col: str, ts_col: str, watermark: str = "
 
 
 def skip_processed(files: DataFrame, path_col: str, processed: DataFrame) -> DataFrame:
-    """K5 batch form: rows from files not yet listed in the ``processed`` table.
-    (Streaming form: a file source with a checkpoint and ``trigger(availableNow=True)``
-    already reads each file once.)"""
-    return anti_join(files, processed.select(F.col(processed.columns[0]).alias("_p")), path_col, "_p")
+    """K5 batch form: rows from files not yet listed in the ``processed`` table."""
+    return anti_join(files, processed.select(quoted(processed.columns[0]).alias("_p")), path_col, "_p")
+
+
+def process_new_files(spark, source: str, schema, process, checkpoint: str, fmt: str = "parquet", glob: str | None = None,
+                      **options) -> list[int]:
+    """K5: run ``process(rows, run_id)`` once over the files under ``source`` that no earlier call with this
+    ``checkpoint`` has taken, and return when none is left; what has been taken is in the checkpoint.
+
+    A file source with ``availableNow``: folders and files are listed by Spark, each file is read once, a call
+    without new files reads nothing, and a call that fails is repeated with the same files and the same
+    ``run_id`` (write to a folder named by it, and a repeat overwrites its own). ``rows`` has ``file_path``.
+    Result: the ids of the runs that read anything.
+    """
+    reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", True).options(**options)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    rows = reader.load(source).withColumn("file_path", F.col("_metadata.file_path"))
+    query = rows.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return [p["batchId"] for p in query.recentProgress if p["numInputRows"]]
