@@ -40,11 +40,11 @@ def test_page_batches_chunked_equals_brute_force(spark):
     rnd = random.Random(3)
     topics = {f"t{k}": [rnd.randint(0, 100) for _ in range(rnd.randint(1, 40))] for k in range(6)}
     df = pages(spark, topics)
-    for chunk in (2, 5, 1000):
-        got = rows(SQ.page_batches(df, "topic", "page", "n", 170, num_batches=4, chunk_pages=chunk),
+    for parts in (2, 5, 40):
+        got = rows(SQ.page_batches(df, "topic", "page", "n", 170, num_batches=4, partitions=parts),
                    "topic", "page", "batch")
         want = sorted(((t, p, b) for t, s in topics.items() for p, b in brute(s, 170, 4)), key=repr)
-        assert got == want, chunk
+        assert got == want, parts
 
 
 def test_near_equal_batches(spark):
@@ -94,7 +94,29 @@ def test_row_index_wide_and_large(spark, tmp_path):
 def test_page_batches_keep_null_topics_and_pages(spark):
     rows = [(None, 2, 3), (None, 1, 3), (None, None, 1), ("null", 1, 9), ("a", 1, None), ("a", 2, 5), ("", 1, 1)]
     df = spark.createDataFrame(rows, "`my topic` string, page long, n long")
-    for chunk in (1, 100):
-        out = SQ.page_batches(df, "my topic", "page", "n", batch_size=5, chunk_pages=chunk).collect()
+    for parts in (1, 7):
+        out = SQ.page_batches(df, "my topic", "page", "n", batch_size=5, partitions=parts).collect()
         assert {tuple(r) for r in out} == {(None, 1, 3, 1), (None, 2, 3, 1), (None, None, 1, 2), ("null", 1, 9, 1),
                                            ("a", 1, 0, 1), ("a", 2, 5, 1), ("", 1, 1, 1)}
+
+
+def test_page_batches_one_topic_over_many_parts(spark):
+    """Sparse and repeated page numbers, batch sizes down to one; a topic that fills most parts."""
+    rnd = random.Random(5)
+    data = [("big", rnd.choice([k, 1000 * k, 7]), rnd.randint(0, 9)) for k in range(400)] + [(f"s{k}", 1, k) for k in range(20)]
+    df = spark.createDataFrame(data, "topic string, page long, n long")
+    for size in (1, 2, 25):
+        want, by = [], {}
+        for t, p, n in sorted(data):
+            by.setdefault(t, []).append((p, n))
+        for t, own in by.items():
+            want += [(t, p, n, b) for (p, n), (_, b) in zip(own, brute([n for _, n in own], size))]
+        for parts in (1, 6):
+            got = rows(SQ.page_batches(df, "topic", "page", "n", size, partitions=parts))
+            assert got == sorted(want, key=repr), (size, parts)
+
+
+def test_row_index_shuffles_rows_once(spark):
+    df = spark.range(1000).select("id", F.lit("payload").alias("p"))
+    plan = SQ.with_row_index(df, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan

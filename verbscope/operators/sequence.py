@@ -1,8 +1,8 @@
 """F5-F7 sequence operators: row index, near-equal batches, greedy page batches.
 
-None of these use a window without ``partitionBy`` (that would move every row to
-one task). The row index partitions by range into a table in the shared folder, counts
-rows per written partition, and adds the running offset of the partitions before.
+No rows meet in one window without ``partitionBy`` (that would move every row to
+one task). The row index partitions by range into a table in the shared folder with each row's place in
+its partition, and adds the running offset of the partitions before.
 """
 
 from __future__ import annotations
@@ -11,34 +11,28 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import write_and_reread
+from .names import as_list, quoted
 
 def _indexed(df: DataFrame, order, name: str):
     """Range-sort by ``order`` and add a 0-based global index ``name`` and ``_n_total``.
 
     ``order`` must be unique (add a key as the last column) so that a re-run of a
-    task after an executor loss sorts the same way.
+    task after an executor loss sorts the same way. Rows are shuffled and written once: a row's place in its
+    sorted partition goes into the written table, and what lies before a partition is one number for
+    each, broadcast to the rows (as many numbers as there are partitions).
     """
-    order = [order] if isinstance(order, str) else list(order)
-    # one range exchange, written with its partition numbers: counting and numbering then see
-    # the same partitions, whatever bounds are sampled and however partitions are coalesced
-    parts = write_and_reread(
-        df.repartitionByRange(*[quoted(c) for c in order]).withColumn("_pid", F.spark_partition_id()), "row-index")
-    counts = parts.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    keys = [quoted(c) for c in as_list(order)]
+    parts = write_and_reread(df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                             .withColumn("_i", F.monotonically_increasing_id()), "row-index")
+    counts = parts.groupBy(F.shiftright("_i", 33).alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_i").alias("_first"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
+    offsets = (counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)) - F.col("_first"))
                .withColumn("_n_total", F.sum("_cnt").over(Window.partitionBy(F.lit(0))))
                .select("_pid", "_off", "_n_total"))
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy(*[quoted(c) for c in order]))
-    out = parts.withColumn("_local", local).join(offsets, "_pid")
-    return out.withColumn(name, (F.col("_off") + F.col("_local") - 1).cast("long")).drop("_pid", "_local", "_off")
-
-
-def quoted(name: str):
-    """Column by its exact name."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    out = parts.join(F.broadcast(offsets), F.shiftright("_i", 33) == F.col("_pid"))
+    return out.withColumn(name, F.col("_i") + F.col("_off")).drop("_pid", "_i", "_off")
 
 
 def with_row_index(df: DataFrame, order, name: str = "row_index", start: int = 0) -> DataFrame:
@@ -72,154 +66,135 @@ def with_batch_id(df: DataFrame, order, batch_size: int | None = None, n_batches
 # ---------------------------------------------------------------------------
 # F7 greedy page batches
 # ---------------------------------------------------------------------------
-# Pages per chunk of a topic. A topic's pages are folded chunk by chunk, so no task
-# ever holds more than this many pages of one topic.
-PAGES_PER_CHUNK = 100_000
 # Stands for a null page number inside the folds.
 NULL_PAGE = 2 ** 63 - 1
 
 
-def _fold_state(n_rows, batch_size: int, start: int):
-    """Greedy fill from ``start``; returns (closes before each page, end state, closes)."""
-    s = start
-    closed = 0
-    before = np.empty(len(n_rows), dtype=np.int64)
-    for j, n in enumerate(n_rows):
-        before[j] = closed
-        s += int(n)
-        if s >= batch_size:
-            closed += 1
-            s = 0
-    return before, s, closed
-
-
-def _runs(keys: list):
-    """Start/end offsets of runs of equal consecutive keys."""
-    starts = [0]
-    for j in range(1, len(keys)):
-        if keys[j] != keys[j - 1]:
-            starts.append(j)
-    ends = starts[1:] + [len(keys)]
-    return list(zip(starts, ends))
-
-
-def _grouped_partition(batches, key_cols):
-    """Re-assemble whole groups from a partition sorted by ``key_cols``: yields one
-    pandas frame per group. Only the group under construction is held, never the
-    whole partition (a group is at most one chunk of one topic)."""
-    carry = None
-    for pdf in batches:
-        if carry is not None:
-            pdf = pd.concat([carry, pdf], ignore_index=True)
-            carry = None
-        if pdf.empty:
-            continue
-        keys = list(zip(*[pdf[c].tolist() for c in key_cols]))
-        runs = _runs(keys)
-        for a, e in runs[:-1]:
-            yield pdf.iloc[a:e]
-        a, e = runs[-1]
-        carry = pdf.iloc[a:e]
-    if carry is not None and not carry.empty:
-        yield carry
+class _Fill:
+    """Greedy fill of one topic's pages. From a known start it numbers pages; from an unknown one it keeps, for
+    each start ``0 .. batch_size-1`` (no open batch holds more), where the fill would stand and how many batches
+    it would have closed."""
+
+    def __init__(self, batch_size: int, start: int | None, closed: int = 0):
+        self.size, self.known = batch_size, start is not None
+        self.state = start if self.known else np.arange(batch_size, dtype=np.int64)
+        self.closed = closed if self.known else np.zeros(batch_size, dtype=np.int64)
+
+    def add(self, n_rows) -> np.ndarray | None:
+        """Batch numbers (1-based) of the next pages, or None from an unknown start."""
+        if not self.known:
+            for n in n_rows.tolist():
+                self.state += n
+                full = self.state >= self.size
+                self.closed += full
+                self.state[full] = 0
+            return None
+        out = np.empty(len(n_rows), dtype=np.int64)
+        for k, n in enumerate(n_rows.tolist()):
+            out[k] = self.closed + 1
+            self.state += n
+            if self.state >= self.size:
+                self.closed, self.state = self.closed + 1, 0
+        return out
+
+    def left(self) -> tuple[list, list]:
+        return np.atleast_1d(self.state).tolist(), np.atleast_1d(self.closed).tolist()
+
+
+def _runs(keys) -> list[tuple[int, int]]:
+    """Start and end of runs of equal consecutive keys."""
+    keys = np.asarray(keys, dtype=object)
+    cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)] if len(keys) else [0, 0]
+    return [(a, e) for a, e in zip(cuts, cuts[1:]) if e > a]
 
 
 def page_batches(pages: DataFrame, topic: str, page: str, rows: str, batch_size: int,
-                 num_batches: int | None = None, chunk_pages: int = PAGES_PER_CHUNK) -> DataFrame:
+                 num_batches: int | None = None, partitions: int | None = None) -> DataFrame:
     """per topic, add pages in page order until the batch holds >= ``batch_size``
     rows, then start a new batch; keep at most ``num_batches`` batches (1-based ``batch``).
 
-    The greedy fill is sequential within a topic. It is computed as a two-level scan
-    so that a topic with very many pages is spread over many tasks:
+    The fill is sequential within a topic, but no topic has to lie in one task, and pages are read once. They are
+    range-partitioned by (topic, page), so a task has a stretch of pages in order, cut by position whatever the
+    page numbers, and streams it:
 
-    1. pages are cut into chunks of ``chunk_pages`` consecutive page numbers; the first
-       chunk of a topic is folded from the empty state; for every later chunk the
-       state it leaves behind is tabulated for each possible incoming state
-       ``0 .. batch_size-1`` (the state space is bounded by the batch size);
-    2. per topic, the small chunk summaries are chained in chunk order to get each
-       chunk's incoming state and the number of batches closed before it;
-    3. each chunk is replayed from its incoming state to number its pages.
+    1. a topic that begins in the task's stretch starts from nothing and is numbered at once. Only the first
+       one may have begun in an earlier task: its pages wait, and what its stretch does to every
+       possible start is tabulated. Pages and tables (two per task at most) are written;
+    2. the tables of a topic are chained in order: one small row per task and topic that reaches over;
+    3. the pages that wait are numbered from their start, again in parallel.
 
-    Each pass is a ``mapInPandas`` over data partitioned by its key and sorted within
-    partitions, folding groups one after another (no per-group Python call).
+    A null topic is a topic, a null page comes last, a null row count is 0; equal pages go by their row count.
     """
     b = int(batch_size)
-    # a null topic is a topic like any other, a null page comes last; the folds see neither null
     t = quoted(topic)
     p = pages.select(F.when(t.isNull(), "null").otherwise(F.concat(F.lit("="), t.cast("string"))).alias("topic"),
                      F.coalesce(quoted(page).cast("long"), F.lit(NULL_PAGE)).alias("page"),
                      F.coalesce(quoted(rows).cast("long"), F.lit(0)).alias("n"))
-    p = p.withColumn("chunk", F.floor(F.col("page") / F.lit(chunk_pages)).cast("long"))
-    tt = "string"
-
-    # 1. chunk summaries
-    first_chunk = p.groupBy("topic").agg(F.min("chunk").alias("chunk")).withColumn("first", F.lit(True))
-    flagged = p.join(first_chunk, ["topic", "chunk"], "left").withColumn(
-        "first", F.coalesce(F.col("first"), F.lit(False)))
-    summary_schema = (f"topic {tt}, chunk long, first boolean, end0 long, close0 long, "
-                      f"ends array<int>, closes array<int>")
-
-    def summarize(batches):
-        out = []
-        for g in _grouped_partition(batches, ["topic", "chunk"]):
-            g = g.sort_values("page")
-            n = g["n"].to_numpy(dtype=np.int64)
-            t, ch, first = g["topic"].iloc[0], int(g["chunk"].iloc[0]), bool(g["first"].iloc[0])
-            if first:
-                _, s, c = _fold_state(n, b, 0)
-                out.append((t, ch, True, s, c, None, None))
-            else:
-                sv = np.arange(b, dtype=np.int64)
-                cv = np.zeros(b, dtype=np.int64)
-                for x in n:
-                    sv += x
-                    hit = sv >= b
-                    cv += hit
-                    sv[hit] = 0
-                out.append((t, ch, False, None, None, sv.astype(np.int32).tolist(), cv.astype(np.int32).tolist()))
-            if len(out) >= 1024:
-                yield pd.DataFrame(out, columns=["topic", "chunk", "first", "end0", "close0", "ends", "closes"])
-                out = []
-        yield pd.DataFrame(out, columns=["topic", "chunk", "first", "end0", "close0", "ends", "closes"])
-
-    summaries = (flagged.repartition("topic", "chunk").sortWithinPartitions("topic", "chunk", "page")
-                 .mapInPandas(summarize, summary_schema))
-
-    # 2. chain chunk summaries per topic (one small row per chunk)
-    start_schema = f"topic {tt}, chunk long, start_state long, start_closed long"
+    order = ["topic", "page", "n"]
+    ranged = p.repartitionByRange(partitions, *order) if partitions else p.repartitionByRange(*order)
+    schema = "topic string, page long, n long, batch long, part int, pos long, ends array<long>, closes array<long>"
+    names = [f.split(" ")[0] for f in schema.split(", ")]
+
+    def number(batches):
+        from pyspark import TaskContext
+        part, now, fill, pos = TaskContext.get().partitionId(), None, None, 0
+        for pdf in batches:
+            topics, n = pdf["topic"].to_numpy(), pdf["n"].to_numpy(dtype=np.int64)
+            numbers = pd.array([pd.NA] * len(pdf), dtype="Int64")
+            for a, e in _runs(topics):
+                if topics[a] != now:
+                    if fill is not None and not fill.known:
+                        yield table(now, part, fill)
+                    fill = _Fill(b, None if now is None else 0)
+                    now = topics[a]
+                if (found := fill.add(n[a:e])) is not None:
+                    numbers[a:e] = found
+            yield pd.DataFrame({"topic": topics, "page": pdf["page"], "n": n, "batch": numbers, "part": part,
+                                "pos": np.arange(pos, pos + len(pdf)), "ends": None, "closes": None})[names]
+            pos += len(pdf)
+        if fill is not None:
+            yield table(now, part, fill)
+
+    def table(now, part, fill):
+        ends, closes = fill.left()
+        return pd.DataFrame([(now, None, None, None, part, None, ends, closes)], columns=names).astype(
+            {"page": "Int64", "n": "Int64", "batch": "Int64", "pos": "Int64"})
+
+    made = write_and_reread(ranged.sortWithinPartitions(*order).mapInPandas(number, schema), "page-batches")
 
     def chain(batches):
-        out = []
-        for g in _grouped_partition(batches, ["topic"]):
-            g = g.sort_values("chunk")
-            st, cl = 0, 0
-            for row in g.itertuples(index=False):
-                out.append((row.topic, row.chunk, st, cl))
-                if row.first:
-                    cl += int(row.close0)
-                    st = int(row.end0)
+        now, state, closed = None, 0, 0
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                if row.topic != now:
+                    now, state, closed = row.topic, 0, 0
+                if len(row.ends) == 1 and b > 1:  # the topic begins in this part
+                    state, closed = int(row.ends[0]), int(row.closes[0])
                 else:
-                    cl += int(row.closes[st])
-                    st = int(row.ends[st])
-            if len(out) >= 1024:
-                yield pd.DataFrame(out, columns=["topic", "chunk", "start_state", "start_closed"])
-                out = []
-        yield pd.DataFrame(out, columns=["topic", "chunk", "start_state", "start_closed"])
-
-    starts = summaries.repartition("topic").sortWithinPartitions("topic", "chunk").mapInPandas(chain, start_schema)
-
-    # 3. replay every chunk from its incoming state
-    out_schema = f"topic {tt}, page long, n long, batch long"
-
-    def replay(batches):
-        for g in _grouped_partition(batches, ["topic", "chunk"]):
-            g = g.sort_values("page")
-            before, _, _ = _fold_state(g["n"].to_numpy(), b, int(g["start_state"].iloc[0]))
-            yield pd.DataFrame({"topic": g["topic"].to_numpy(), "page": g["page"].to_numpy(),
-                                "n": g["n"].to_numpy(), "batch": before + int(g["start_closed"].iloc[0]) + 1})
-
-    res = (p.join(starts, ["topic", "chunk"]).repartition("topic", "chunk")
-           .sortWithinPartitions("topic", "chunk", "page").mapInPandas(replay, out_schema))
+                    out.append((row.topic, row.part, state, closed))
+                    state, closed = int(row.ends[state]), closed + int(row.closes[state])
+            yield pd.DataFrame(out, columns=["topic", "part", "state", "closed"])
+
+    tables = made.where("ends is not null").select("topic", "part", "ends", "closes")
+    starts = (tables.repartition("topic").sortWithinPartitions("topic", "part")
+              .mapInPandas(chain, "topic string, part int, state long, closed long"))
+
+    def renumber(batches):
+        now, fill = None, None
+        for pdf in batches:
+            numbers = np.empty(len(pdf), dtype=np.int64)
+            parts, n = pdf["part"].to_numpy(), pdf["n"].to_numpy(dtype=np.int64)
+            for a, e in _runs(parts):
+                if parts[a] != now:
+                    now, fill = parts[a], _Fill(b, int(pdf["state"].iloc[a]), int(pdf["closed"].iloc[a]))
+                numbers[a:e] = fill.add(n[a:e])
+            yield pd.DataFrame({"topic": pdf["topic"], "page": pdf["page"], "n": n, "batch": numbers})
+
+    numbered = made.where("ends is null and batch is not null").select("topic", "page", "n", "batch")
+    waiting = (made.where("ends is null and batch is null").select("topic", "page", "n", "part", "pos").join(starts, ["topic", "part"])
+               .repartition("part").sortWithinPartitions("part", "pos").mapInPandas(renumber, "topic string, page long, n long, batch long"))
+    res = numbered.union(waiting)
     if num_batches is not None:
         res = res.where(F.col("batch") <= F.lit(num_batches))
     named = F.when(F.col("topic") != "null", F.substr("topic", F.lit(2))).cast(pages.schema[topic].dataType)
