@@ -181,3 +181,24 @@ def test_new_files_only(spark, tmp_path):
         pass
     assert run() == [1] and seen[-1] == (1, [3])  # the failed run's file again, under its id
     assert rows(spark.read.parquet(str(tmp_path / "out")), "id") == [(1,), (2,), (3,)]
+
+
+def test_registry_buckets_and_compaction(spark, tmp_path):
+    root, out = str(tmp_path / "regb"), str(tmp_path / "keptb")
+    sink = ST.registry_sink("id", root, out, run="x")
+    frame = lambda ids: spark.createDataFrame([(str(i), i) for i in ids], "id string, n int")
+    for k, ids in enumerate([range(0, 50), range(40, 90), range(80, 120), [200]]):
+        sink(frame(ids), k)
+    assert ST.read_registry(spark, root).count() == 121 and spark.read.parquet(out).count() == 121
+    one = [r["b"] for r in frame([7]).select(ST.id_bucket("id").alias("b")).collect()]
+    few = ST.read_registry(spark, root, buckets=one)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and {"7"} <= {r["id"] for r in few.collect()} and few.count() < 20
+    made = ST.compact_registry(spark, root)
+    parts = ST.registry_parts(spark, root)
+    assert sorted(p.rsplit("/", 1)[-1][:2] for p in parts) == ["c=", "ru"] and any(p.endswith(made.rsplit("/", 1)[-1]) for p in parts)
+    assert ST.read_registry(spark, root).count() == 121 and ST.compact_registry(spark, root) is None
+    sink(frame([200]), 3)  # the last batch again: its own part is left out, so its row is kept again
+    assert spark.read.parquet(f"{out}/run=x/batch_id=3").count() == 1
+    sink(frame([200, 201, None]), 4)
+    assert spark.read.parquet(f"{out}/run=x/batch_id=4").count() == 2

@@ -7,11 +7,13 @@ old one stays readable until the new one is complete).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -39,16 +41,31 @@ def update_registry(df: DataFrame, id_col: str, registry: DataFrame, null_safe:
     return kept, new_reg
 
 
+#: Folders that a part of the registry is split into, by a hash of the id.
+REGISTRY_BUCKETS = 256
+
+
+def id_bucket(id_col) -> Column:
+    """The bucket of an id (as text)."""
+    return F.pmod(F.xxhash64(id_col), F.lit(REGISTRY_BUCKETS)).cast("int")
+
+
 def registry_version_path(root: str, version: int) -> str:
     return f"{root}/v={version:06d}"
 
 
+def write_part(ids: DataFrame, path: str) -> str:
+    """Write ids (``id string``) as a part of a registry: one folder per bucket, one task per bucket."""
+    bucketed = ids.select("id").withColumn("bucket", id_bucket("id"))
+    bucketed.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    return path
+
+
 def commit_registry(registry: DataFrame, root: str, version: int) -> str:
     """Write ids as part ``version`` of the registry at ``root``; it counts from when Spark
     has written its ``_SUCCESS``."""
-    path = registry_version_path(root, version)
-    registry.write.mode("overwrite").parquet(path)
-    return path
+    ids = registry.select(quoted(registry.columns[0]).cast("string").alias("id")).where("id is not null").distinct()
+    return write_part(ids, registry_version_path(root, version))
 
 
 def registry_parts(spark, root: str) -> list[str]:
@@ -58,12 +75,40 @@ def registry_parts(spark, root: str) -> list[str]:
     return sorted(f.getPath().getParent().toString() for f in found or [])
 
 
-def read_registry(spark, root: str, leave_out: str | None = None) -> DataFrame:
-    """All registered ids: the union of the complete parts (``leave_out``: a part's folder name)."""
+def read_registry(spark, root: str, leave_out: str | None = None, buckets: list[int] | None = None) -> DataFrame:
+    """Registered ids: the union of the complete parts (``leave_out``: a part's folder name), of all buckets or
+    those given; other buckets' folders are not read."""
     parts = [p for p in registry_parts(spark, root) if p.rsplit("/", 1)[-1] != leave_out]
     if not parts:
         return spark.createDataFrame([], "id string")
-    return spark.read.schema("id string").parquet(*parts).distinct()
+    ids = reduce(DataFrame.union, [spark.read.schema("id string, bucket int").parquet(p) for p in parts])
+    if buckets is not None:
+        ids = ids.where(F.col("bucket").isin(buckets))
+    return ids.select("id").distinct()
+
+
+def compact_registry(spark, root: str) -> str | None:
+    """Put the parts of a registry together into one and delete them; the new part's folder, or None if fewer
+    than two can be put together.
+
+    The newest part of each run stays as it is: its micro-batch may be repeated and must then find its own
+    ids absent. An interrupted compaction loses nothing: the new part counts once it is complete, and ids that
+    two parts hold are one id.
+    """
+    newest: dict[str, str] = {}
+    parts = registry_parts(spark, root)
+    for p in parts:
+        if (run := p.rsplit("/", 1)[-1]).startswith("run="):
+            newest[run.rsplit("-", 1)[0]] = p  # sorted: the last one wins
+    old = [p for p in parts if p not in newest.values()]
+    if len(old) < 2:
+        return None
+    ids = reduce(DataFrame.union, [spark.read.schema("id string, bucket int").parquet(p) for p in old]).select("id").distinct()
+    made = write_part(ids, f"{root}/c={uuid.uuid4().hex}")
+    for p in old:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return made
 
 
 def registry_sink(id_col: str, registry_root: str, out_path: str, run: str, registry: DataFrame | None = None):
@@ -74,19 +119,21 @@ def registry_sink(id_col: str, registry_root: str, out_path: str, run: str, regi
     given. ``run`` names this query's parts: keep it with the query's checkpoint and choose a new
     one for a new checkpoint. A retried batch leaves its own part out and rewrites it, and no
     part of another run is ever touched. Parts hold new ids only, so a batch writes no more
-    than it brings."""
+    than it brings, and lie in buckets by id, so it reads the buckets of its own ids only.
+    Call ``compact_registry`` now and then, between micro-batches, to keep parts few."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         part = f"run={run}-{batch_id:06d}"
-        known = read_registry(spark, registry_root, leave_out=part)
+        own = batch.select(id_bucket(quoted(id_col).cast("string")).alias("b")).distinct()
+        needed = sorted(r["b"] for r in own.collect())  # REGISTRY_BUCKETS numbers at most
+        known = read_registry(spark, registry_root, leave_out=part, buckets=needed)
         if registry is not None:
             known = id_union(known, registry.select(quoted(registry.columns[0]).cast("string").alias("id")))
         kept, _ = update_registry(batch, id_col, known)
         # per run and batch: a retried batch overwrites its own folder
         kept.write.mode("overwrite").parquet(f"{out_path}/run={run}/batch_id={batch_id}")
         new = spark.read.schema(kept.schema).parquet(f"{out_path}/run={run}/batch_id={batch_id}")
-        (new.select(quoted(id_col).cast("string").alias("id")).where("id is not null").distinct()
-         .write.mode("overwrite").parquet(f"{registry_root}/{part}"))
+        write_part(new.select(quoted(id_col).cast("string").alias("id")).where("id is not null").distinct(), f"{registry_root}/{part}")
     return fn
 
 
