@@ -135,6 +135,25 @@ def rejected_rows(spark, sf):
     return r.select(F.substring_index("record", "~", 1).cast("long").alias("id"), "reason")
 
 
+def page_lists(spark, sf):
+    """Customers as saved pages of no schema: lists at several depths, one of plain numbers, one empty."""
+    c = _t(spark, sf, "customer")
+    page = F.to_json(F.struct(
+        F.array(F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("text"))).alias("data"),
+        F.struct(F.struct(F.array(F.struct(F.col("c_mktsegment").alias("tag"))).alias("segments")).alias("deep"),
+                 F.array("c_custkey", "c_nationkey").alias("codes"), F.array().cast("array<int>").alias("empty")).alias("includes"),
+        F.struct(F.array("c_custkey").alias("data")).alias("meta")))
+    return RD.page_lists(c.select(F.parse_json(page).alias("page"))).select(
+        F.col("table").alias("list_name"), "pos", F.to_json("item").alias("item"))
+
+
+def list_table(spark, sf):
+    """A list that no schema names, as a table."""
+    o = _t(spark, sf, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status")))).alias("orders"))
+    pages = o.select("o_custkey", F.parse_json(F.to_json(F.struct("orders"))).alias("page"))
+    return RD.list_table(RD.page_lists(pages), "orders", "id long, status string, missing int").select("o_custkey", "pos", "id", "status", "missing")
+
+
 def duplicate_report_total(spark, sf):
     """Folder rows and the row of all folders together, keys compared across folders."""
     return AG.duplicate_report(_t(spark, sf, "documents", spread=False), "text", "source", total="all folders")
@@ -169,7 +188,7 @@ QUERIES = {f.__name__: f for f in (
     drop_null_text, dependency_in_text, filter_known_verbs, anti_join_tables, lookup, containment_join, substring_join,
     duplicate_total, distinct_values, table_shape, merge_tables_first, pos_text_corpus, token_details, distance_table,
     token_intersects, convert_types, page_batches_all, read_table, rejected_rows,
-    duplicate_report_total)}
+    duplicate_report_total, page_lists, list_table)}
 
 ORACLE = {
     "read_table": """
@@ -179,6 +198,13 @@ FROM customer WHERE c_custkey % 10 NOT IN (3, 4)""",
     "rejected_rows": """
 SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 3 THEN 'fields' ELSE 'value' END AS reason
 FROM customer WHERE c_custkey % 10 IN (3, 4)""",
+    "page_lists": """
+SELECT 'data' AS list_name, 0::BIGINT AS pos, '{"id":' || c_custkey || ',"text":"' || c_name || '"}' AS item FROM customer
+UNION ALL SELECT 'segments', 0, '{"tag":"' || c_mktsegment || '"}' FROM customer
+UNION ALL SELECT 'codes', 0, c_custkey::VARCHAR FROM customer UNION ALL SELECT 'codes', 1, c_nationkey::VARCHAR FROM customer""",
+    "list_table": """
+SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos, o_orderkey AS id, o_orderstatus AS status, NULL::INTEGER AS missing
+FROM orders""",
     "duplicate_report_total": """
 SELECT source, count(*) AS original, count(*) - count(DISTINCT text) AS dups FROM documents GROUP BY source
 UNION ALL SELECT 'all folders', count(*), count(*) - count(DISTINCT text) FROM documents""",
