@@ -232,6 +232,50 @@ def test_shards(spark, docs, none, tmp_path):
     assert shards.materialise(none, str(tmp_path / "e"))[1].count() == 0
 
 
+def test_training_order_depends_on_data_only(spark, docs, tmp_path):
+    from verbscope.llm.common import quoted
+    found = []
+    for parts in (3, 5):
+        d = docs.select("doc_id", "text").repartition(parts, quoted("text"))
+        _, placement, _ = shards.materialise(d, str(tmp_path / str(parts)), seq_len=32, per_shard=50, key=9)
+        found.append(sorted(tuple(r) for r in placement.select("slot", F.coalesce("doc_id", F.lit(-1)), "piece", "length").collect()))
+    assert found[0] == found[1] and len(found[0]) > 400
+    plan = placement._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan
+    assert shards.qualified(spark, "/some/where").startswith("file:") and shards.qualified(spark, "file:/a") == "file:/a"
+
+
+def test_slots_are_the_permuted_index(spark, tmp_path):
+    """Slots against brute force: rows by document, piece and checksum within the buckets of ``numbered``, permuted."""
+    d = spark.createDataFrame([(k, f"text {k} " * (k % 9 + 1)) for k in range(40)], "doc_id long, text string").repartition(4)
+    _, placement, _ = shards.materialise(d, str(tmp_path / "x"), seq_len=8, per_shard=16, key=3)
+    rows = placement.select("doc_id", "piece", "slot").collect()
+    n = len(rows)
+    table = shards.by_part(shards.token_sequences(d, seq_len=8)).select("doc_id", "piece", F.pmod(F.xxhash64("doc_id", "piece", "crc"), F.lit(16)).alias("b"), "crc")
+    ordered = sorted((r["b"], r["doc_id"], r["piece"]) for r in table.collect())
+    want = {(i, p): s for (_, i, p), s in zip(ordered, shards.feistel(np.arange(n), n, 3).tolist(), strict=True)}
+    assert {(r["doc_id"], r["piece"]): r["slot"] for r in rows} == want
+
+
+def test_long_urls(spark):
+    import time
+    url = "http://" + "a." * 2000 + "example.com/de/" + "/" * 100_000 + "?q"
+    pages = spark.createDataFrame([(1, url), (2, "http://x.net/"), (3, "http://y.org/fr")], "page_id long, url string")
+    rules = spark.createDataFrame([("example.com", "/de/", "block"), ("org", "/fr", "block")], "host string, path string, verdict string")
+    t0 = time.time()
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge_urls(pages, rules).collect()}
+    assert got == {1: ("example.com/de/", "block"), 2: (None, "allow"), 3: ("org/fr", "block")} and time.time() - t0 < 60
+
+
+def test_text_of_many_lines(spark):
+    lines = [f"a line that many documents hold {k % 1000}" if k % 3 else f"own line number {k}" for k in range(100_000)]
+    shared = "\n".join(f"a line that many documents hold {k}" for k in range(0, 1000, 2))
+    d = spark.createDataFrame([(1, "\n".join(lines)), (2, shared), (3, shared)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in line_dedup.drop_lines(d).collect()}
+    lost = [k % 3 != 0 and (k % 1000) % 2 == 0 for k in range(100_000)]
+    assert got[1]["n_dropped"] == sum(lost) and got[1]["kept_text"] == "\n".join(x for x, y in zip(lines, lost, strict=True) if not y)
+
+
 def test_token_count(docs, none):
     tok = wordpieces.tokenizer(wordpieces.default_tokenizer())
     for r in token_count.with_token_count(docs).select("text", "n_tokens").collect():
@@ -342,3 +386,13 @@ def test_small_table_queries_match_sql(spark):
         assert cols == sorted(want.columns)
         a, b = (json.loads(x[cols].sort_values(cols).to_json(orient="values")) for x in (got, want))
         assert a == b, name
+
+
+def test_frames_outlive_a_pipeline_run(spark, docs):
+    """Tables of other operators, and of the result of an earlier run, are nobody else's to delete."""
+    import corpus_pipeline as cp
+    held = line_dedup.drop_lines(docs.select("doc_id", "text", "source"))
+    first = cp.run(spark, "/root/testdata/sf0.001")
+    n = first.count()
+    second = cp.run(spark, "/root/testdata/sf0.001")
+    assert held.count() == len(TEXTS) and first.count() == n == second.count()

@@ -5,6 +5,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,34 +38,44 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
 
 
-#: Folders of staged tables that this driver has written and not released, oldest first.
-_STAGED: list[str] = []
+class Tables:
+    """Staged tables that belong together, so that they can be deleted together."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def release(self, spark: SparkSession) -> None:
+        """Delete the tables. Frames that read them can't be computed any more."""
+        for path in self.paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self.paths.clear()
+
+
+_OWNER: ContextVar[Tables | None] = ContextVar("owner", default=None)
+
+
+@contextmanager
+def owned() -> Iterator[Tables]:
+    """Tables staged inside belong to the object given; all others stay until their folder is cleared."""
+    tables = Tables()
+    token = _OWNER.set(tables)
+    try:
+        yield tables
+    finally:
+        _OWNER.reset(token)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: cuts the
     lineage, fixes the rows (row ids, sampled bounds) and survives lost executors."""
     path = new_folder(df.sparkSession, name)
+    if (owner := _OWNER.get()) is not None:
+        owner.paths.append(path)
     df.write.parquet(path)
-    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(docs: DataFrame) -> None:
-    """Delete the staged tables so far but for those that ``docs`` reads. For a chain of stages
-    whose results are written one by one: the tables behind a written result are done with."""
-    spark = docs.sparkSession
-    read = "\n".join(docs.inputFiles())
-    keep = []
-    for path in _STAGED:
-        if path.split("/llm-")[-1] in read:
-            keep.append(path)
-        else:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    _STAGED[:] = keep
-
-
 def whole_texts(spark: SparkSession, rows: int = 1000) -> None:
     """Keep Arrow batches small: a batch holds whole texts, and the default of 10,000 rows may
     be hundreds of megabytes in an executor's Python workers and its own buffers."""

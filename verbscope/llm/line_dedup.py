@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from verbscope.llm.common import WHITE, lower_ascii, quoted, staged, without
 
 SALTS = 64
+#: Rows of a key in one part from which on there are more salts.
+ROWS_PER_SALT = 1_000_000
 
 
 def _text(text_col: str) -> Column:
@@ -46,7 +48,8 @@ def line_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per (id, text) that loses lines: id, th (text hash), n_dropped, dropped
     (array of struct<word int, bits long>: bit k of word w drops line 64 w + k)."""
     rows = staged(line_rows(df, id_col, text_col, min_chars), "lines")
-    salted = (rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    salts = SALTS * (1 + rows.count() // (SALTS * ROWS_PER_SALT))
+    salted = (rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
               .repartitionByRange("h1", "h2", "salt"))
     stream = Window.partitionBy("h1", "h2", "salt").orderBy(F.col("id").desc_nulls_last(), "th", "pos")
     marked = salted.withColumn("opens", F.when(
@@ -66,14 +69,18 @@ def line_bitmaps(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def kept_lines(text: Column, dropped: Column) -> Column:
-    """The lines of a text that its bitmap keeps."""
-    words = F.map_from_entries(dropped)
-
-    def stays(_line: Column, k: Column) -> Column:
-        bits = F.coalesce(F.try_element_at(words, F.floor(k / 64).cast("int")), F.lit(0).cast("long"))
-        return F.getbit(bits, F.pmod(k, F.lit(64))) == 0
-
-    return F.filter(F.split(text, "\n"), stays)
+    """The lines of a text that its bitmap keeps. The bitmap's words are laid out densely, once per
+    text (bound by an outer lambda), so that a line's word is found by its number."""
+    j = F.sequence(F.lit(0), F.size(dropped) - 1)
+    before = lambda k: F.when(k == 0, -1).otherwise(F.get(dropped, k - 1)["word"])
+    dense = F.flatten(F.transform(j, lambda k: F.concat(
+        F.array_repeat(F.lit(0).cast("long"), F.get(dropped, k)["word"] - before(k) - 1), F.array(F.get(dropped, k)["bits"]))))
+
+    def kept(words: Column) -> Column:
+        return F.filter(F.split(text, "\n"), lambda _line, k: F.getbit(
+            F.coalesce(F.get(words, F.floor(k / 64).cast("int")), F.lit(0).cast("long")), F.pmod(k, F.lit(64))) == 0)
+
+    return F.get(F.transform(F.array(dense), kept), F.lit(0))
 
 
 def drop_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",

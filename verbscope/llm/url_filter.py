@@ -1,7 +1,7 @@
 """URL filters by host-suffix and path-prefix expressions.
 
-Every distinct (host, path) is expanded into host-suffix x path-directory expressions, as
-every rule is into its own one. Expressions meet in an equi-join on the first four bytes of
+Every distinct (host, path) is expanded into host-suffix x path-directory expressions, no longer than
+the longest rule's, as every rule is into its own one. Expressions meet in an equi-join on the first four bytes of
 their SHA-256 digest; the full digest then confirms the match, the whole rule path is checked
 against the whole path, and of the rules that fit the longest wins.
 
@@ -41,20 +41,25 @@ def _digest(host: Column, directory: Column) -> Column:
     return F.unhex(F.sha2(F.concat_ws("\n", host, directory), 256))
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and every suffix of it that starts after a dot."""
-    labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(
-        F.slice(labels, k, F.size(labels) - k + 1), "."))
+def host_suffixes(host: Column, most: int) -> Column:
+    """The host's suffixes of 1 to ``most`` labels."""
+    labels = F.size(F.split(host, r"\."))
+    return F.transform(F.sequence(F.lit(1), F.least(labels, F.lit(most))), lambda k: F.call_function("substring_index", host, F.lit("."), -k))
 
 
-def path_directories(path: Column) -> Column:
-    """The empty string and every prefix of the path that ends in ``/``."""
-    parts = F.split(path, "/")
+def path_directories(path: Column, most: int) -> Column:
+    """The empty string and the path's prefixes that end in its first to ``most``-th ``/``."""
+    parts = F.split(path, "/", most + 1)  # what lies deeper stays in one piece
     return F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda k: F.when(k == 0, "").otherwise(
         F.concat(F.array_join(F.slice(parts, F.lit(1), k), "/"), F.lit("/"))))
 
 
+def deepest(rules: DataFrame) -> tuple[int, int]:
+    """The most labels of a rule's host and the most ``/`` of a rule's path (two numbers to the driver)."""
+    found = rules.agg(F.max(F.size(F.split("rule_host", r"\."))), F.max(F.regexp_count("rule_path", F.lit("/")))).first()
+    return max(1, found[0] or 1), found[1] or 0
+
+
 def rule_expressions(rules: DataFrame) -> DataFrame:
     """One row per rule: its short prefix, digest and parts."""
     r = (rules.select(F.translate(F.col("host"), UPPER, LOWER).alias("rule_host"), F.col("path").alias("rule_path"),
@@ -71,12 +76,13 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     broadcast; the planner broadcasts by measured size or splits skewed keys at run time.
     """
     parsed = without(pages, *OUT).withColumns({"host": url_host(quoted(url_col)), "path": url_path(quoted(url_col))})
+    r = rule_expressions(rules)
+    labels, slashes = deepest(r)
     targets = parsed.select("host", "path").distinct()
-    expanded = (targets.withColumn("suffix", F.explode(host_suffixes(F.col("host"))))
-                .withColumn("directory", F.explode(path_directories(F.col("path"))))
+    expanded = (targets.withColumn("suffix", F.explode(host_suffixes(F.col("host"), labels)))
+                .withColumn("directory", F.explode(path_directories(F.col("path"), slashes)))
                 .withColumn("digest", _digest(F.col("suffix"), F.col("directory")))
                 .withColumn("prefix", F.substring("digest", 1, 4)))
-    r = rule_expressions(rules)
     hits = (expanded.join(r, F.col("prefix") == F.col("rule_prefix"))
             .where((F.col("digest") == F.col("rule_digest")) & F.startswith("path", "rule_path")))
     rule = F.concat("rule_host", "rule_path")
