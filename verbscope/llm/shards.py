@@ -7,8 +7,9 @@ arithmetic alone, and reads in training order sequentially. Sequences are range-
 shard, sorted by slot and streamed into files; a shard is written under a task's own name and
 then moved into place, so a task that runs again leaves whole files only.
 
-Indexes need no sort and no second pass over texts: a sequence's index is its running number
-in its part of the staged table plus the sequences of the parts before.
+A sequence's index is its running number by document, piece and checksum, counted in buckets over narrow
+rows; it depends on the data alone. Ids go to their shards in one range shuffle; the table they come from is
+bucketed by task, which is meant to spare them another one when slots are joined to them.
 
 Records hold ids as little-endian unsigned 16-bit numbers if the vocabulary allows, else 32-bit,
 padded to ``seq_len`` with ``pad_id``.
@@ -19,15 +20,16 @@ an id are sequences of their own; extra columns are not read; an empty table giv
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbscope.llm.common import new_folder, quoted, staged
+from verbscope.llm.common import new_folder, numbered, quoted, staged
 from verbscope.llm.wordpieces import default_tokenizer, encode, special_tokens, tokenizer
 
 ROUNDS = 4
@@ -57,10 +59,10 @@ def feistel(index: np.ndarray, n: int, key: int) -> np.ndarray:
 
 def token_sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", seq_len: int = 512,
                     tokenizer_path: str | None = None) -> DataFrame:
-    """One row per sequence: doc_id, piece, length, ids (compressed), part and pos (its place in
+    """One row per sequence: doc_id, piece, length, ids (compressed), crc (of the ids), part and pos (its place in
     its task). A document's ids, the end id last, are cut every ``seq_len``."""
     path = tokenizer_path or default_tokenizer()
-    schema = "doc_id long, piece int, length int, ids binary, part int, pos long"
+    schema = "doc_id long, piece int, length int, ids binary, crc long, part int, pos long"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -69,10 +71,10 @@ def token_sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         kind = record_type(path)
         end = next(iter(special_tokens(path).values())).to_bytes(4, "little")
         names = [x.strip().split(" ")[0] for x in schema.split(",")]
-        types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int32(), pa.int64())
+        types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int64())
 
         def batch_of(rows: list) -> pa.RecordBatch:
-            cols = zip(*rows, strict=True) if rows else [()] * 6
+            cols = zip(*rows, strict=True) if rows else [()] * len(types)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
         rows, held = [], 0
@@ -81,7 +83,7 @@ def token_sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 ids = np.frombuffer(encode(text.as_py() or "", path) + end, "<u4").astype(kind)
                 for k, a in enumerate(range(0, len(ids), seq_len)):
                     data = ids[a : a + seq_len]
-                    rows.append((doc.as_py(), k, len(data), compress(data.tobytes()), part, pos))
+                    rows.append((doc.as_py(), k, len(data), compress(data.tobytes()), zlib.crc32(data.tobytes()), part, pos))
                     pos, held = pos + 1, held + data.nbytes
                 if held > 1 << 23:
                     yield batch_of(rows)
@@ -95,18 +97,41 @@ def record_type(path: str) -> np.dtype:
     return np.dtype("<u2" if tokenizer(path).get_vocab_size(with_added_tokens=True) <= 65536 else "<u4")
 
 
+def by_part(sequences: DataFrame) -> DataFrame:
+    """The sequences as a table in the shared folder, bucketed by the task that wrote them (one file per
+    task), so that what is known of a task's rows can be joined to them by task."""
+    spark = sequences.sparkSession
+    name, parts = f"sequences_{uuid.uuid4().hex}", max(1, sequences.rdd.getNumPartitions())
+    sequences.write.bucketBy(parts, "part").option("path", new_folder(spark, "sequences")).saveAsTable(name)
+    return spark.table(name)
+
+
 def with_slots(sequences: DataFrame, key: int = 0) -> DataFrame:
-    """Add ``slot`` to a staged table of sequences."""
-    counts = sequences.groupBy("part").agg(F.count("*").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select("part", (F.sum("n").over(before) - F.col("n")).alias("first"))
+    """Add ``slot`` to a table of ``by_part``.
+
+    The index that is permuted counts sequences by document, piece and checksum, in narrow rows, so slots depend
+    on the data and the key alone, not on how the input was split. Slots go back to their rows as one
+    list per task, by an equi-join on the bucketed task number.
+    """
     n = sequences.count()
 
     @F.arrow_udf("long")
     def slot(index: pa.Array) -> pa.Array:
         return pa.array(feistel(index.to_numpy(zero_copy_only=False), n, key), pa.int64())
 
-    return sequences.join(offsets, "part").withColumn("slot", slot(F.col("first") + F.col("pos")))
+    narrow = sequences.select("doc_id", "piece", "crc", "part", "pos")
+    indexed = numbered(narrow, [], ["doc_id", "piece", "crc"], "index").select("part", "pos", slot("index").alias("slot"))
+    lists = indexed.groupBy("part").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "slot"))), lambda x: x["slot"]).alias("slots"))
+    lists = lists.withColumnRenamed("part", "of_part").hint("shuffle_hash")
+    joined = sequences.join(lists, F.col("part") == F.col("of_part"))
+    return joined.withColumn("slot", F.get("slots", F.col("pos").cast("int"))).drop("of_part", "slots")
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder with its scheme: without one it is a place in Spark's default file system, not an
+    executor's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def _files(uri: str):
@@ -114,7 +139,7 @@ def _files(uri: str):
     from pyarrow import fs
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
 def write_shards(placed: DataFrame, folder: str, seq_len: int = 512, per_shard: int = 8192,
@@ -125,8 +150,6 @@ def write_shards(placed: DataFrame, folder: str, seq_len: int = 512, per_shard:
             .repartitionByRange("shard").sortWithinPartitions("shard", "slot"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         import zstandard
         files, root = _files(folder)
         files.create_dir(root, recursive=True)
@@ -186,7 +209,7 @@ def materialise(df: DataFrame, folder: str | None = None, id_col: str = "doc_id"
                 seq_len: int = 512, per_shard: int = 8192, key: int = 0,
                 tokenizer_path: str | None = None) -> tuple[str, DataFrame, DataFrame]:
     """Tokenise, permute and write. (folder, placement: doc_id, piece, length, slot; manifest)."""
-    folder = folder or new_folder(df.sparkSession, "shards")
-    placed = with_slots(staged(token_sequences(df, id_col, text_col, seq_len, tokenizer_path), "sequences"), key)
+    folder = qualified(df.sparkSession, folder or new_folder(df.sparkSession, "shards"))
+    placed = with_slots(by_part(token_sequences(df, id_col, text_col, seq_len, tokenizer_path)), key)
     manifest = staged(write_shards(placed, folder, seq_len, per_shard, tokenizer_path), "manifest")
     return folder, placed.select("doc_id", "piece", "length", "slot"), manifest
