@@ -33,7 +33,7 @@ SPACE = "▁"  # what SentencePiece writes for a blank
 #: Parts up to this many characters are worth remembering; longer ones rarely come back.
 MEMO_CHARS = 32
 #: Bytes of one generation of the memo (a worker holds two at most).
-MEMO_BYTES = 160 << 20
+MEMO_BYTES = 64 << 20
 
 
 def default_pieces() -> str:
@@ -167,7 +167,8 @@ def encode_pieces(df: DataFrame, text_col: str = "text", out: str = "piece_ids",
         table = piece_table(path)
         return pa.array([table.encode(t.as_py() or "") for t in texts], pa.binary())
 
-    return without(df, out).withColumn(out, encode(quoted(text_col)))
+    # marked so that the ids are made once, not once for each column that is derived from them
+    return without(df, out).withColumn(out, encode.asNondeterministic()(quoted(text_col)))
 
 
 def decode_pieces(df: DataFrame, ids_col: str = "piece_ids", out: str = "decoded", model_path: str | None = None) -> DataFrame:
