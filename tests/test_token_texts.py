@@ -108,3 +108,20 @@ def test_filters_reach_the_scan(spark, tmp_path):
     assert "char_length(text" in plan[generate:]
     once = TT.document_texts(TK.annotate(read, verbs(spark)).where("whole").drop("whole", "seg"), {"p": TT.pos_piece()})
     assert once.count() == 1
+
+
+def test_a_task_turns_a_bounded_text_into_tokens(spark):
+    """However long all texts are together: left to itself, Spark merges partitions by their compressed bytes."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.expr("repeat('decir que temer ', 1000)").alias("text"))
+    segs = TK.segments(docs)
+    held = segs.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("piece")).alias("n"))
+    assert max(r["n"] for r in held.collect()) < 2 * TK.TASK_BYTES
+    assert TK.text_tasks(docs) == -(-48_000_000 // TK.TASK_BYTES)
+    assert TK.text_tasks(docs.limit(0)) == TK.text_tasks(docs.select("doc_id", F.lit(None).cast("string").alias("text"))) == spark.sparkContext.defaultParallelism
+
+
+def test_texts_are_made_before_pairs_meet_them(spark):
+    docs, long = frames(spark, 10**6)
+    made = TT.distance_table(long).drop("text_norm")
+    above = made._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "array_join" not in above.replace("array_join(array_sort(_verbs", "")
