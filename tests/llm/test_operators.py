@@ -257,6 +257,16 @@ def test_slots_are_the_permuted_index(spark, tmp_path):
     assert {(r["doc_id"], r["piece"]): r["slot"] for r in rows} == want
 
 
+def test_ids_stay_where_they_are_when_slots_are_joined(spark):
+    d = spark.createDataFrame([(k, f"text {k} " * (k % 9 + 1)) for k in range(40)], "doc_id long, text string").repartition(5)
+    sequences = shards.token_sequences(d, seq_len=8)
+    placed = shards.with_slots(shards.by_part(sequences, 5), 3, 5)
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    scan = plan.index("ids#", plan.index("ShuffledHashJoin") + 1)  # the table with the ids lies right below the join
+    assert "Bucketed: true" in plan and "Exchange" not in plan[plan.index("ShuffledHashJoin"):scan]
+    assert sorted(r["slot"] for r in placed.select("slot").collect()) == list(range(placed.count()))
+
+
 def test_long_urls(spark):
     import time
     url = "http://" + "a." * 2000 + "example.com/de/" + "/" * 100_000 + "?q"

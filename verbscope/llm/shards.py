@@ -9,7 +9,7 @@ then moved into place, so a task that runs again leaves whole files only.
 
 A sequence's index is its running number by document, piece and checksum, counted in buckets over narrow
 rows; it depends on the data alone. Ids go to their shards in one range shuffle; the table they come from is
-bucketed by task, which is meant to spare them another one when slots are joined to them.
+bucketed by task, and slots are dealt by the same buckets, so that ids stay where they are when slots are joined to them.
 
 Records hold ids as little-endian unsigned 16-bit numbers if the vocabulary allows, else 32-bit,
 padded to ``seq_len`` with ``pad_id``.
@@ -97,17 +97,21 @@ def record_type(path: str) -> np.dtype:
     return np.dtype("<u2" if tokenizer(path).get_vocab_size(with_added_tokens=True) <= 65536 else "<u4")
 
 
-def by_part(sequences: DataFrame) -> DataFrame:
+def tasks_of(sequences: DataFrame) -> int:
+    return max(1, sequences.rdd.getNumPartitions())
+
+
+def by_part(sequences: DataFrame, buckets: int | None = None) -> DataFrame:
     """The sequences as a table in the shared folder, bucketed by the task that wrote them (one file per
     task), so that what is known of a task's rows can be joined to them by task."""
     spark = sequences.sparkSession
-    name, parts = f"sequences_{uuid.uuid4().hex}", max(1, sequences.rdd.getNumPartitions())
-    sequences.write.bucketBy(parts, "part").option("path", new_folder(spark, "sequences")).saveAsTable(name)
+    name = f"sequences_{uuid.uuid4().hex}"
+    sequences.write.bucketBy(buckets or tasks_of(sequences), "part").option("path", new_folder(spark, "sequences")).saveAsTable(name)
     return spark.table(name)
 
 
-def with_slots(sequences: DataFrame, key: int = 0) -> DataFrame:
-    """Add ``slot`` to a table of ``by_part``.
+def with_slots(sequences: DataFrame, key: int = 0, buckets: int | None = None) -> DataFrame:
+    """Add ``slot`` to a table of ``by_part``, which has ``buckets`` buckets.
 
     The index that is permuted counts sequences by document, piece and checksum, in narrow rows, so slots depend
     on the data and the key alone, not on how the input was split. Slots go back to their rows as one
@@ -121,9 +125,11 @@ def with_slots(sequences: DataFrame, key: int = 0) -> DataFrame:
 
     narrow = sequences.select("doc_id", "piece", "crc", "part", "pos")
     indexed = numbered(narrow, [], ["doc_id", "piece", "crc"], "index").select("part", "pos", slot("index").alias("slot"))
-    lists = indexed.groupBy("part").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "slot"))), lambda x: x["slot"]).alias("slots"))
-    lists = lists.withColumnRenamed("part", "of_part").hint("shuffle_hash")
-    joined = sequences.join(lists, F.col("part") == F.col("of_part"))
+    indexed = indexed.withColumnRenamed("part", "of_part")
+    if buckets:  # the table's own: with any other number of partitions its ids would be dealt anew
+        indexed = indexed.repartition(buckets, "of_part")
+    lists = indexed.groupBy("of_part").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "slot"))), lambda x: x["slot"]).alias("slots"))
+    joined = sequences.join(lists.hint("shuffle_hash"), F.col("part") == F.col("of_part"))
     return joined.withColumn("slot", F.get("slots", F.col("pos").cast("int"))).drop("of_part", "slots")
 
 
@@ -210,6 +216,8 @@ def materialise(df: DataFrame, folder: str | None = None, id_col: str = "doc_id"
                 tokenizer_path: str | None = None) -> tuple[str, DataFrame, DataFrame]:
     """Tokenise, permute and write. (folder, placement: doc_id, piece, length, slot; manifest)."""
     folder = qualified(df.sparkSession, folder or new_folder(df.sparkSession, "shards"))
-    placed = with_slots(by_part(token_sequences(df, id_col, text_col, seq_len, tokenizer_path)), key)
+    sequences = token_sequences(df, id_col, text_col, seq_len, tokenizer_path)
+    buckets = tasks_of(sequences)
+    placed = with_slots(by_part(sequences, buckets), key, buckets)
     manifest = staged(write_shards(placed, folder, seq_len, per_shard, tokenizer_path), "manifest")
     return folder, placed.select("doc_id", "piece", "length", "slot"), manifest
