@@ -1,6 +1,7 @@
 """Long-form token outputs: equal to the nested ones, and the same however long documents are cut."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -125,3 +126,18 @@ def test_texts_are_made_before_pairs_meet_them(spark):
     made = TT.distance_table(long).drop("text_norm")
     above = made._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
     assert "array_join" not in above.replace("array_join(array_sort(_verbs", "")
+
+
+def exchanges(df, key):
+    """What rows are dealt by wherever ``key`` takes part."""
+    return re.findall(rf"hashpartitioning\([^)]*\b{key}#[^)]*\)", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_pairs_of_uncut_documents_are_not_shuffled(spark):
+    """However many verbs: only those of cut documents are, over as many tasks as the caller says."""
+    _, long = frames(spark, 64)
+    for df in (TT.head_pairs(long, partitions=7), TT.marked_heads(long, partitions=7), TT.distance_table(long, partitions=7)):
+        dealt = exchanges(df, "_key")
+        assert len(dealt) == 2 and all(d.endswith(", 7)") for d in dealt)
+    for last in (False, True):
+        assert rows(TT.head_pairs(long, last_per_lemma=last, partitions=7)) == rows(TT.head_pairs(long, last_per_lemma=last))
