@@ -141,3 +141,14 @@ def test_pairs_of_uncut_documents_are_not_shuffled(spark):
         assert len(dealt) == 2 and all(d.endswith(", 7)") for d in dealt)
     for last in (False, True):
         assert rows(TT.head_pairs(long, last_per_lemma=last, partitions=7)) == rows(TT.head_pairs(long, last_per_lemma=last))
+
+
+def test_words_of_uncut_documents_are_gathered_before_the_shuffle(spark):
+    docs = spark.createDataFrame([(1, "decir que decir"), (1, "temer que " + "decir casa " * 40), (2, "a b a"), (None, "que")], "doc_id long, text string")
+    long = TK.annotate(docs, verbs(spark), segment_chars=64)
+    got = {r[0]: r[1] for r in TK.dep_map(long).collect()}
+    want = TK.dep_map(long.drop("whole", "seg")).collect()
+    assert got == {r[0]: r[1] for r in want} and len(want) == len(got) == 3
+    assert len(got[1]) == 4
+    word = "_groupingexpression"
+    assert [len(exchanges(TK.dep_map(x), word)) for x in (long, long.where("whole"), long.drop("whole", "seg"))] == [1, 0, 1]
