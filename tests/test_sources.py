@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from verbscope import schemas as S
@@ -237,6 +238,23 @@ def test_any_list_of_a_page_is_a_table(spark, tmp_path):
     assert rows(R.list_table(lists, "polls", "id long, options array<int>"), "id", "options") == [(7, [1, 2])]
 
 
+def test_pages_are_read_once_however_deep(spark):
+    nested = "null"
+    for k in range(9):
+        nested = json.dumps({f"o{k}": json.loads(nested), "l": [k]})
+    made = [(1, '{"a":{"b":{"c":[1,2],"n":null,"e":{}}},"c":[3],"meta":{"x":[1]},"s":5,"none":[]}'), (2, "[[7],{\"z\":[1]},8]"), (3, "5"), (4, None), (1, '{"c":[4]}')]
+    pages = spark.createDataFrame(made, "id long, j string").groupBy("id").agg(F.array_sort(F.collect_list("j")).alias("js"))
+    lists = R.page_lists(pages.select("id", F.explode_outer("js").alias("j")).select("id", F.parse_json("j").alias("page")))
+    got = sorted(((r[0], r[1] or "", r[2], r[3]) for r in lists.select("id", "table", "pos", F.to_json("item").alias("j")).collect()))
+    assert got == [(1, "c", 0, "1"), (1, "c", 0, "3"), (1, "c", 0, "4"), (1, "c", 1, "2"), (2, "", 0, "7")]
+    plan = lists._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Union" not in plan
+    page = spark.range(1).select(F.parse_json(F.lit(nested)).alias("page"))
+    assert R.page_lists(page, depth=9).count() == 9
+    with pytest.raises(Exception, match="nest deeper than 8"):
+        R.page_lists(page).collect()
+
+
 def test_write_by_verb_is_balanced_by_size(spark, tmp_path):
     verbs = spark.createDataFrame([("creer", "Epistemic"), ("decir", "stative"), ("ver", "stative")], "verb string, verb_type string")
     df = spark.createDataFrame([(1, "creer, decir"), (2, "creer"), (3, None), (4, "nope")], "id long, verbs string")
