@@ -245,6 +245,27 @@ def test_training_order_depends_on_data_only(spark, docs, tmp_path):
     assert shards.qualified(spark, "/some/where").startswith("file:") and shards.qualified(spark, "file:/a") == "file:/a"
 
 
+def test_ids_are_kept_in_the_shards_alone(spark, docs, tmp_path):
+    """The table that ids come from goes when the shards are written; the placement doesn't count slots again."""
+    before = {t.name for t in spark.catalog.listTables()}
+    _, placement, _ = shards.materialise(docs, str(tmp_path / "k"), seq_len=32, per_shard=50)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert not [f for f in placement.inputFiles() if "/sequences/" in f]
+    assert sorted(r["slot"] for r in placement.select("slot").collect()) == list(range(placement.count()))
+    assert "Window" not in placement._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ids_are_compressed_against_a_dictionary(spark, tmp_path):
+    d = spark.range(600).select(F.col("id").alias("doc_id"), F.expr("concat_ws(' ', transform(sequence(1, 60), k -> concat('word', (k * 7 + id * k) % 400)))").alias("text"))
+    held = lambda dictionary: shards.token_sequences(d, seq_len=64, dictionary=dictionary).agg(F.sum(F.length("ids"))).first()[0]
+    trained = shards.id_dictionary(d, seq_len=64)
+    assert 0 < len(trained) <= shards.DICTIONARY_BYTES and held(trained) < 0.8 * held(b"")
+    assert shards.id_dictionary(d.limit(0)) == shards.id_dictionary(d.select(F.lit(None).cast("string").alias("text"))) == b""
+    found = [sorted(map(tuple, shards.materialise(x, str(tmp_path / n), seq_len=64, per_shard=50)[2].collect()))
+             for n, x in (("a", d), ("b", d.orderBy(F.col("doc_id").desc())))]
+    assert found[0] == found[1]
+
+
 def test_slots_are_the_permuted_index(spark, tmp_path):
     """Slots against brute force: rows by document, piece and checksum within the buckets of ``numbered``, permuted."""
     d = spark.createDataFrame([(k, f"text {k} " * (k % 9 + 1)) for k in range(40)], "doc_id long, text string").repartition(4)

@@ -10,6 +10,11 @@ then moved into place, so a task that runs again leaves whole files only.
 A sequence's index is its running number by document, piece and checksum, counted in buckets over narrow
 rows; it depends on the data alone. Ids go to their shards in one range shuffle; the table they come from is
 bucketed by task, and slots are dealt by the same buckets, so that ids stay where they are when slots are joined to them.
+Slots and places are small tables of their own, so slots are counted once and the table of ids is deleted when the
+shards are written.
+
+On the way ids are compressed record by record, against a dictionary trained on the first rows (``SAMPLE_ROWS``,
+``SAMPLE_CHARS`` of each): a record of its own is too short to compress well. What is written doesn't depend on it.
 
 Records hold ids as little-endian unsigned 16-bit numbers if the vocabulary allows, else 32-bit,
 padded to ``seq_len`` with ``pad_id``.
@@ -33,6 +38,7 @@ from verbscope.llm.common import new_folder, numbered, quoted, staged
 from verbscope.llm.wordpieces import default_tokenizer, encode, special_tokens, tokenizer
 
 ROUNDS = 4
+SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 1024, 8192, 112_640
 
 
 def feistel(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -57,18 +63,30 @@ def feistel(index: np.ndarray, n: int, key: int) -> np.ndarray:
         slots[out] = once(slots[out])
 
 
+def id_dictionary(df: DataFrame, text_col: str = "text", seq_len: int = 512, tokenizer_path: str | None = None) -> bytes:
+    """A dictionary for compressing sequences, from the first rows; empty if they are too few to train one."""
+    import zstandard
+    path = tokenizer_path or default_tokenizer()
+    rows = df.select(F.substring(quoted(text_col), 1, SAMPLE_CHARS).alias("t")).where("t != ''").take(SAMPLE_ROWS)
+    ids = [np.frombuffer(encode(r["t"], path), "<u4").astype(record_type(path)) for r in rows]
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, [x[a : a + seq_len].tobytes() for x in ids for a in range(0, len(x), seq_len)]).as_bytes()
+    except zstandard.ZstdError:
+        return b""
+
+
 def token_sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", seq_len: int = 512,
-                    tokenizer_path: str | None = None) -> DataFrame:
-    """One row per sequence: doc_id, piece, length, ids (compressed), crc (of the ids), part and pos (its place in
-    its task). A document's ids, the end id last, are cut every ``seq_len``."""
+                    tokenizer_path: str | None = None, dictionary: bytes = b"") -> DataFrame:
+    """One row per sequence: doc_id, piece, length, ids (compressed against ``dictionary``), crc (of the ids), part and pos
+    (its place in its task). A document's ids, the end id last, are cut every ``seq_len``."""
     path = tokenizer_path or default_tokenizer()
     schema = "doc_id long, piece int, length int, ids binary, crc long, part int, pos long"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         from pyspark import TaskContext
-        part, pos, compress = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(level=5).compress
-        kind = record_type(path)
+        part, pos, kind = TaskContext.get().partitionId(), 0, record_type(path)
+        compress = zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(dictionary), write_dict_id=False).compress
         end = next(iter(special_tokens(path).values())).to_bytes(4, "little")
         names = [x.strip().split(" ")[0] for x in schema.split(",")]
         types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int64())
@@ -101,12 +119,12 @@ def tasks_of(sequences: DataFrame) -> int:
     return max(1, sequences.rdd.getNumPartitions())
 
 
-def by_part(sequences: DataFrame, buckets: int | None = None) -> DataFrame:
+def by_part(sequences: DataFrame, buckets: int | None = None, name: str | None = None, path: str | None = None) -> DataFrame:
     """The sequences as a table in the shared folder, bucketed by the task that wrote them (one file per
     task), so that what is known of a task's rows can be joined to them by task."""
     spark = sequences.sparkSession
-    name = f"sequences_{uuid.uuid4().hex}"
-    sequences.write.bucketBy(buckets or tasks_of(sequences), "part").option("path", new_folder(spark, "sequences")).saveAsTable(name)
+    name = name or f"sequences_{uuid.uuid4().hex}"
+    sequences.write.bucketBy(buckets or tasks_of(sequences), "part").option("path", path or new_folder(spark, "sequences")).saveAsTable(name)
     return spark.table(name)
 
 
@@ -117,6 +135,11 @@ def with_slots(sequences: DataFrame, key: int = 0, buckets: int | None = None) -
     on the data and the key alone, not on how the input was split. Slots go back to their rows as one
     list per task, by an equi-join on the bucketed task number.
     """
+    return _with_lists(sequences, _slot_lists(sequences, key), buckets)
+
+
+def _slot_lists(sequences: DataFrame, key: int) -> DataFrame:
+    """of_part, slots: the slots of a task's rows in the order of their places."""
     n = sequences.count()
 
     @F.arrow_udf("long")
@@ -124,11 +147,13 @@ def with_slots(sequences: DataFrame, key: int = 0, buckets: int | None = None) -
         return pa.array(feistel(index.to_numpy(zero_copy_only=False), n, key), pa.int64())
 
     narrow = sequences.select("doc_id", "piece", "crc", "part", "pos")
-    indexed = numbered(narrow, [], ["doc_id", "piece", "crc"], "index").select("part", "pos", slot("index").alias("slot"))
-    indexed = indexed.withColumnRenamed("part", "of_part")
+    indexed = numbered(narrow, [], ["doc_id", "piece", "crc"], "index").select(F.col("part").alias("of_part"), "pos", slot("index").alias("slot"))
+    return indexed.groupBy("of_part").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "slot"))), lambda x: x["slot"]).alias("slots"))
+
+
+def _with_lists(sequences: DataFrame, lists: DataFrame, buckets: int | None) -> DataFrame:
     if buckets:  # the table's own: with any other number of partitions its ids would be dealt anew
-        indexed = indexed.repartition(buckets, "of_part")
-    lists = indexed.groupBy("of_part").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "slot"))), lambda x: x["slot"]).alias("slots"))
+        lists = lists.repartition(buckets, "of_part")
     joined = sequences.join(lists.hint("shuffle_hash"), F.col("part") == F.col("of_part"))
     return joined.withColumn("slot", F.get("slots", F.col("pos").cast("int"))).drop("of_part", "slots")
 
@@ -149,8 +174,8 @@ def _files(uri: str):
 
 
 def write_shards(placed: DataFrame, folder: str, seq_len: int = 512, per_shard: int = 8192,
-                 tokenizer_path: str | None = None) -> DataFrame:
-    """Write the shards under ``folder``; the manifest: shard, file, records, crc32."""
+                 tokenizer_path: str | None = None, dictionary: bytes = b"") -> DataFrame:
+    """Write the shards under ``folder``; the manifest: shard, file, records, crc32. ``dictionary`` is that of the ids."""
     path = tokenizer_path or default_tokenizer()
     rows = (placed.withColumn("shard", F.floor(F.col("slot") / per_shard).cast("long")).select("shard", "slot", "ids")
             .repartitionByRange("shard").sortWithinPartitions("shard", "slot"))
@@ -159,7 +184,7 @@ def write_shards(placed: DataFrame, folder: str, seq_len: int = 512, per_shard:
         import zstandard
         files, root = _files(folder)
         files.create_dir(root, recursive=True)
-        expand, kind = zstandard.ZstdDecompressor().decompress, record_type(path)
+        expand, kind = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary)).decompress, record_type(path)
         stride = seq_len * kind.itemsize
         pad = np.full(seq_len, next(iter(special_tokens(path).values())), kind).tobytes()
         shard, out, temp, n, crc, done = None, None, "", 0, 0, []
@@ -216,8 +241,14 @@ def materialise(df: DataFrame, folder: str | None = None, id_col: str = "doc_id"
                 tokenizer_path: str | None = None) -> tuple[str, DataFrame, DataFrame]:
     """Tokenise, permute and write. (folder, placement: doc_id, piece, length, slot; manifest)."""
     folder = qualified(df.sparkSession, folder or new_folder(df.sparkSession, "shards"))
-    sequences = token_sequences(df, id_col, text_col, seq_len, tokenizer_path)
-    buckets = tasks_of(sequences)
-    placed = with_slots(by_part(sequences, buckets), key, buckets)
-    manifest = staged(write_shards(placed, folder, seq_len, per_shard, tokenizer_path), "manifest")
-    return folder, placed.select("doc_id", "piece", "length", "slot"), manifest
+    dictionary = id_dictionary(df, text_col, seq_len, tokenizer_path)
+    spark, sequences = df.sparkSession, token_sequences(df, id_col, text_col, seq_len, tokenizer_path, dictionary)
+    buckets, name, path = tasks_of(sequences), f"sequences_{uuid.uuid4().hex}", new_folder(df.sparkSession, "sequences")
+    table = by_part(sequences, buckets, name, path)
+    lists = staged(_slot_lists(table, key), "slots")
+    places = staged(table.select("doc_id", "piece", "length", "part", "pos"), "places")
+    manifest = staged(write_shards(_with_lists(table, lists, buckets), folder, seq_len, per_shard, tokenizer_path, dictionary), "manifest")
+    # ids lie in the shards now
+    spark.sql(f"DROP TABLE {name}")
+    spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+    return folder, _with_lists(places, lists, None).select("doc_id", "piece", "length", "slot"), manifest
