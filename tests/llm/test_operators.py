@@ -266,6 +266,61 @@ def test_ids_are_compressed_against_a_dictionary(spark, tmp_path):
     assert found[0] == found[1]
 
 
+def test_shards_are_written_in_rounds(spark, tmp_path, monkeypatch):
+    """Each round shuffles the ids of its own shards only, and leaves no shuffle files; shards are the same as in one round."""
+    import time
+
+    def shuffle_files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in found.split("\n") if "/shuffle_" in f}
+
+    found, write = [], shards.write_shards
+    d = spark.range(200).select(F.col("id").alias("doc_id"), F.expr("repeat(concat('text ', id, ' '), int(id % 40))").alias("text"))
+    for rounds in (1, 3):
+        taken, before = [], shuffle_files()
+        monkeypatch.setattr(shards, "SHARD_ROUNDS", rounds)
+        monkeypatch.setattr(shards, "ROUND_SHARDS", 2)
+        monkeypatch.setattr(shards, "write_shards", lambda placed, *a: taken.append({r["slot"] for r in placed.select("slot").collect()}) or write(placed, *a))  # noqa: B023
+        folder, placement, manifest = shards.materialise(d, str(tmp_path / str(rounds)), seq_len=32, per_shard=50)
+        until = time.time() + 20  # executors delete them in the background
+        while shuffle_files() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not shuffle_files() - before
+        n = placement.count()
+        assert len(taken) == rounds and sorted(x for t in taken for x in t) == list(range(n))
+        assert max(map(len, taken)) <= n / rounds + 50 and all(len({x // 50 for x in t}) >= 2 for t in taken)
+        found.append((sorted(map(tuple, manifest.collect())), sorted(map(tuple, shards.read_shards(spark, folder, 32, 50).collect()))))
+        monkeypatch.setattr(shards, "write_shards", write)
+    assert found[0] == found[1] and len(found[0][0]) == -(-n // 50)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_frequent_ids_are_renumbered(spark, monkeypatch):
+    path = wordpieces.default_tokenizer()
+    d = spark.range(600).select(F.col("id").alias("doc_id"), F.expr("concat_ws(' ', transform(sequence(1, 60), k -> concat('word', (k * 7 + id * k) % 400)))").alias("text"))
+    trained = shards.id_dictionary(d, seq_len=64)
+    ids = np.frombuffer(b"".join(wordpieces.encode(r["text"], path) for r in d.collect()), "<u4")
+    for kind in ("<u2", "<u4"):
+        monkeypatch.setattr(shards, "record_type", lambda _, kind=kind: np.dtype(kind))
+        number, back, _ = shards._coding(b"", path)
+        assert (number == back).all() and (number == np.arange(len(number))).all()
+        number, back, _ = shards._coding(trained if kind == "<u2" else shards.id_dictionary(d, seq_len=64), path)
+        assert (back[number] == np.arange(len(number))).all() and number.dtype == np.dtype(kind)
+        assert number[ids].max() < len(np.unique(ids)) and number[np.bincount(ids).argmax()] == 0
+
+
+def test_ids_are_the_librarys():
+    """The possessive split pattern: every code point of the plain class next to words, marks and white space of any length."""
+    path = wordpieces.default_tokenizer()
+    library = wordpieces.tokenizer(path)
+    white = ["\t", "\n", "\r", " ", "\x0b", "\x0c", "\x85", "\xa0", "\u2003", "\u2028", "\u3000"]
+    texts = [f"a{x}1{x}!{x} {x}\n{x}{x}b '{x}  {x}" for x in map(chr, [*range(0x250), *range(0x2010, 0x2028), 0x20AC])]
+    texts += [f"{a * n}{b}{x}{a * n}{b * n}" for a in white for b in white for n in (1, 2, 5) for x in ("", "b", "1", "!", "'s", "''ll", "'S", "<|endoftext|>")]
+    for t in texts:
+        assert np.frombuffer(wordpieces.encode(t, path), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+    assert "++" in wordpieces.PATTERN
+
+
 def test_slots_are_the_permuted_index(spark, tmp_path):
     """Slots against brute force: rows by document, piece and checksum within the buckets of ``numbered``, permuted."""
     d = spark.createDataFrame([(k, f"text {k} " * (k % 9 + 1)) for k in range(40)], "doc_id long, text string").repartition(4)

@@ -76,6 +76,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query that ends inside are deleted at its end, not when the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def whole_texts(spark: SparkSession, rows: int = 1000) -> None:
     """Keep Arrow batches small: a batch holds whole texts, and the default of 10,000 rows may
     be hundreds of megabytes in an executor's Python workers and its own buffers."""

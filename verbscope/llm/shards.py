@@ -11,10 +11,12 @@ A sequence's index is its running number by document, piece and checksum, counte
 rows; it depends on the data alone. Ids go to their shards in one range shuffle; the table they come from is
 bucketed by task, and slots are dealt by the same buckets, so that ids stay where they are when slots are joined to them.
 Slots and places are small tables of their own, so slots are counted once and the table of ids is deleted when the
-shards are written.
+shards are written. Shards are written in rounds over ranges of slots, and a round's shuffle files are deleted when it
+ends: besides the table and the shards, disk holds the ids of one round.
 
-On the way ids are compressed record by record, against a dictionary trained on the first rows (``SAMPLE_ROWS``,
-``SAMPLE_CHARS`` of each): a record of its own is too short to compress well. What is written doesn't depend on it.
+On the way ids are renumbered, the most frequent ones first, and compressed record by record, both after the first rows
+(``SAMPLE_ROWS``, ``SAMPLE_CHARS`` of each): a record of its own is too short to compress well. What is written doesn't
+depend on it.
 
 Records hold ids as little-endian unsigned 16-bit numbers if the vocabulary allows, else 32-bit,
 padded to ``seq_len`` with ``pad_id``.
@@ -25,6 +27,7 @@ an id are sequences of their own; extra columns are not read; an empty table giv
 
 from __future__ import annotations
 
+import functools
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,11 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbscope.llm.common import new_folder, numbered, quoted, staged
+from verbscope.llm.common import new_folder, numbered, quoted, shuffles_deleted, staged
 from verbscope.llm.wordpieces import default_tokenizer, encode, special_tokens, tokenizer
 
 ROUNDS = 4
-SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 1024, 8192, 112_640
+SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES, RENUMBERED = 1024, 8192, 112_640, 8192
+#: Rounds in which shards are written, and shards that a round has at least.
+SHARD_ROUNDS, ROUND_SHARDS = 4, 16
 
 
 def feistel(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -64,17 +69,38 @@ def feistel(index: np.ndarray, n: int, key: int) -> np.ndarray:
 
 
 def id_dictionary(df: DataFrame, text_col: str = "text", seq_len: int = 512, tokenizer_path: str | None = None) -> bytes:
-    """A dictionary for compressing sequences, from the first rows; empty if they are too few to train one."""
+    """What sequences are compressed with, from the first rows: how many ids are renumbered (4 bytes), these ids, the most
+    frequent first, and a dictionary of renumbered ids. Empty if the rows are too few to train one."""
     import zstandard
     path = tokenizer_path or default_tokenizer()
     rows = df.select(F.substring(quoted(text_col), 1, SAMPLE_CHARS).alias("t")).where("t != ''").take(SAMPLE_ROWS)
     ids = [np.frombuffer(encode(r["t"], path), "<u4").astype(record_type(path)) for r in rows]
+    if not ids:
+        return b""
+    found, times = np.unique(np.concatenate(ids), return_counts=True)
+    common = found[np.argsort(-times, kind="stable")][:RENUMBERED].tobytes()
+    head = (len(common) // ids[0].itemsize).to_bytes(4, "little") + common
+    number = _coding(head, path)[0]
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, [x[a : a + seq_len].tobytes() for x in ids for a in range(0, len(x), seq_len)]).as_bytes()
+        return head + zstandard.train_dictionary(
+            DICTIONARY_BYTES - len(head), [number[x[a : a + seq_len]].tobytes() for x in ids for a in range(0, len(x), seq_len)]).as_bytes()
     except zstandard.ZstdError:
         return b""
 
 
+def _coding(dictionary: bytes, path: str):
+    """(number of each id, id of each number, compression dictionary) of an ``id_dictionary``; empty: ids as they are."""
+    import zstandard
+    kind = record_type(path)
+    ids = np.arange(1 << 16 if kind.itemsize == 2 else max(tokenizer(path).get_vocab(with_added_tokens=True).values()) + 1, dtype=kind)
+    n = int.from_bytes(dictionary[:4], "little")
+    common = np.frombuffer(dictionary, kind, n, 4) if n else ids[:0]
+    back = np.concatenate([common, np.setdiff1d(ids, common)])
+    number = np.empty_like(ids)
+    number[back] = ids
+    return number, back, zstandard.ZstdCompressionDict(dictionary[4 + common.nbytes :])
+
+
 def token_sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", seq_len: int = 512,
                     tokenizer_path: str | None = None, dictionary: bytes = b"") -> DataFrame:
     """One row per sequence: doc_id, piece, length, ids (compressed against ``dictionary``), crc (of the ids), part and pos
@@ -86,7 +112,8 @@ def token_sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         import zstandard
         from pyspark import TaskContext
         part, pos, kind = TaskContext.get().partitionId(), 0, record_type(path)
-        compress = zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(dictionary), write_dict_id=False).compress
+        number, _, trained = _coding(dictionary, path)
+        compress = zstandard.ZstdCompressor(level=3, dict_data=trained, write_dict_id=False).compress
         end = next(iter(special_tokens(path).values())).to_bytes(4, "little")
         names = [x.strip().split(" ")[0] for x in schema.split(",")]
         types = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int64())
@@ -101,7 +128,7 @@ def token_sequences(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 ids = np.frombuffer(encode(text.as_py() or "", path) + end, "<u4").astype(kind)
                 for k, a in enumerate(range(0, len(ids), seq_len)):
                     data = ids[a : a + seq_len]
-                    rows.append((doc.as_py(), k, len(data), compress(data.tobytes()), zlib.crc32(data.tobytes()), part, pos))
+                    rows.append((doc.as_py(), k, len(data), compress(number[data].tobytes()), zlib.crc32(data.tobytes()), part, pos))
                     pos, held = pos + 1, held + data.nbytes
                 if held > 1 << 23:
                     yield batch_of(rows)
@@ -184,7 +211,8 @@ def write_shards(placed: DataFrame, folder: str, seq_len: int = 512, per_shard:
         import zstandard
         files, root = _files(folder)
         files.create_dir(root, recursive=True)
-        expand, kind = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionary)).decompress, record_type(path)
+        kind, (_, back, trained) = record_type(path), _coding(dictionary, path)
+        expand = zstandard.ZstdDecompressor(dict_data=trained).decompress
         stride = seq_len * kind.itemsize
         pad = np.full(seq_len, next(iter(special_tokens(path).values())), kind).tobytes()
         shard, out, temp, n, crc, done = None, None, "", 0, 0, []
@@ -202,7 +230,7 @@ def write_shards(placed: DataFrame, folder: str, seq_len: int = 512, per_shard:
                         close()
                     shard, n, crc, temp = s.as_py(), 0, 0, f"{root}/.{uuid.uuid4().hex}"
                     out = files.open_output_stream(temp)
-                ids = expand(data.as_py())
+                ids = back[np.frombuffer(expand(data.as_py()), kind)].tobytes()
                 record = ids + pad[len(ids) :]
                 out.write(record)
                 n, crc = n + 1, zlib.crc32(record, crc)
@@ -241,13 +269,20 @@ def materialise(df: DataFrame, folder: str | None = None, id_col: str = "doc_id"
                 tokenizer_path: str | None = None) -> tuple[str, DataFrame, DataFrame]:
     """Tokenise, permute and write. (folder, placement: doc_id, piece, length, slot; manifest)."""
     folder = qualified(df.sparkSession, folder or new_folder(df.sparkSession, "shards"))
-    dictionary = id_dictionary(df, text_col, seq_len, tokenizer_path)
-    spark, sequences = df.sparkSession, token_sequences(df, id_col, text_col, seq_len, tokenizer_path, dictionary)
-    buckets, name, path = tasks_of(sequences), f"sequences_{uuid.uuid4().hex}", new_folder(df.sparkSession, "sequences")
-    table = by_part(sequences, buckets, name, path)
-    lists = staged(_slot_lists(table, key), "slots")
-    places = staged(table.select("doc_id", "piece", "length", "part", "pos"), "places")
-    manifest = staged(write_shards(_with_lists(table, lists, buckets), folder, seq_len, per_shard, tokenizer_path, dictionary), "manifest")
+    spark = df.sparkSession
+    with shuffles_deleted(spark):
+        dictionary = id_dictionary(df, text_col, seq_len, tokenizer_path)
+        sequences = token_sequences(df, id_col, text_col, seq_len, tokenizer_path, dictionary)
+        buckets, name, path = tasks_of(sequences), f"sequences_{uuid.uuid4().hex}", new_folder(spark, "sequences")
+        table = by_part(sequences, buckets, name, path)
+        lists = staged(_slot_lists(table, key), "slots")
+        places = staged(table.select("doc_id", "piece", "length", "part", "pos"), "places")
+        placed, written, n = _with_lists(table, lists, buckets), [], -(-places.count() // per_shard)
+        rounds = max(1, min(SHARD_ROUNDS, n // ROUND_SHARDS))
+        for k in range(rounds):
+            some = placed.where((F.col("slot") >= n * k // rounds * per_shard) & (F.col("slot") < n * (k + 1) // rounds * per_shard))
+            written.append(staged(write_shards(some, folder, seq_len, per_shard, tokenizer_path, dictionary), "manifest"))
+        manifest = functools.reduce(DataFrame.union, written)
     # ids lie in the shards now
     spark.sql(f"DROP TABLE {name}")
     spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)

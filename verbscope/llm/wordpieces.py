@@ -77,8 +77,9 @@ def as_letters(word: str) -> str:
     return word.encode().decode("latin-1").translate(byte_letters())
 
 
-# Fixed value: the byte-level split pattern, as the vocabulary files' README gives it.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Fixed value: the byte-level split pattern of the vocabulary files' README in possessive form, which matches the same
+# without keeping places to go back to: a run of a class is never cut short, only white space before a word.
+PATTERN = r"'(?:[stmd]|re|ve|ll)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
 
 @functools.lru_cache(maxsize=4)
